@@ -65,7 +65,7 @@ def best(queries: np.ndarray, own: np.ndarray, shard: np.ndarray, ids: np.ndarra
     else:
         exact = lambda a: np.array([[int(x) for x in row] for row in a], object).reshape(a.shape)
         score = np.clip(exact(queries).dot(exact(shard).T), -(2**63) + 2, 2**63 - 1).astype(np.int64)
-    lowest = np.iinfo(np.int64).min
+    lowest = -(2**63) + 1
     score[own[:, None] == ids[None, :]] = lowest
     if score.shape[1] > k:
         # the k-th score of each query, then every candidate above it and, of those that tie, the first by id
