@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fixity, language, mixing, packing, quality, secrets, topk
+from . import fixity, language, mixing, neardup, packing, quality, secrets, topk
 from .common import table
 
 LANGUAGE_FOLDS = 5
 
 
+def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out(F.col("doc_id"), LANGUAGE_FOLDS))
     model = language.fit(documents.filter("not held_out and text is not null and lang is not null"))
@@ -43,6 +47,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_neardup": op1_neardup,
     "op2_language": op2_language,
     "op3_secrets": op3_secrets,
     "op4_mixing": op4_mixing,
