@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fixity, language, mixing, neardup, packing, quality, secrets, topk
+from . import fixity, language, mixing, neardup, packing, quality, repeats, secrets, topk
 from .common import table
 
 LANGUAGE_FOLDS = 5
@@ -42,6 +42,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("failed_rule")
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op5_fixity": op5_fixity,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
+    "op8_repeats": op8_repeats,
     "op9_topk": op9_topk,
 }
 
