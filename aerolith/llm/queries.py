@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fixity, language, mixing, neardup, packing, quality, repeats, secrets, topk
+from . import fixity, language, mixing, neardup, packing, quality, repeats, scoring, secrets, topk
 from .common import table
 
 LANGUAGE_FOLDS = 5
+SCORING_FOLDS = 10
 
 
 def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,10 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op10_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score(table(spark, sf_dir, "documents"), language.held_out(F.col("doc_id"), SCORING_FOLDS))
+
+
 QUERIES = {
     "op1_neardup": op1_neardup,
     "op2_language": op2_language,
@@ -60,6 +65,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_repeats": op8_repeats,
     "op9_topk": op9_topk,
+    "op10_scoring": op10_scoring,
 }
 
 #: DuckDB's SQL for those that SQL can express over whole tables.
