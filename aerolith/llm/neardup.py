@@ -6,11 +6,16 @@ empty is given to every shingle in a round of its own. So each coordinate is fil
 probability of their Jaccard similarity, and their agreement is concentrated about it. Bands of rows of the sketch are
 bucket keys: with 24 bands of 5 rows a pair at similarity 0.85 shares none with a probability of 8e-7.
 
-Documents of equal sets are one class, of which the smallest doc_id stands for all. Buckets of more than one class are
-settled in rounds: some pivots of a bucket, those met in most buckets first, are compared on full sets with its other
-members that no chain of links ties to them yet; components are then joined, pivots leave, and buckets of one component
-are done. Each round takes four times as many pivots, so every pair that shares a bucket is compared or tied by links,
-while a group of m copies around one document costs m comparisons and not m squared.
+Documents of equal sets are one class, of which the smallest doc_id stands for all. A shingle that no other document
+in a bucket with company has is in no intersection, so a document's other shingles, its solid ones, bound the size of
+each of its possible partners from above. Buckets are split by size class, and a document goes only into the classes
+that hold sizes it can be linked with: edited copies that have drifted too far from all others leave by this bound and
+are not compared.
+
+What is left is settled in rounds: some pivots of a bucket, those met in most buckets first, are compared on full sets
+with its other members that no chain of links ties to them yet; components are then joined, pivots leave, and buckets of
+one component are done. Each round takes four times as many pivots, so every pair that shares a bucket is compared, tied
+by links, or ruled out by the bound, while a group of m copies around one document costs m comparisons and not m squared.
 
 Cases: without words or text a set is empty and linked with nothing; with fewer than five words the whole sequence is
 the only shingle; equal rows are equal members; a row without doc_id is linked with nothing, has no component and is
@@ -76,7 +81,8 @@ def shingles(words: np.ndarray) -> np.ndarray:
         return words
     width = min(SHINGLE, len(words))
     n = len(words) - width + 1
-    h = np.full(n, U(width) * GOLD)
+    h = np.full(n, GOLD)
+    h *= U(width)
     for k in range(width):
         h ^= words[k : k + n]
         h *= MIX_A
@@ -100,7 +106,8 @@ def sketch(elements: np.ndarray, t: int) -> np.ndarray:
         if out.max() < np.iinfo(U).max:
             return out
     for j in np.flatnonzero(out == np.iinfo(U).max).tolist():
-        out[j] = (U(t + j) << U(48)) | (mixed(elements + U(t + j + 1) * GOLD) >> U(16)).min()
+        step = np.array([t + j + 1], U) * GOLD
+        out[j] = (U(t + j) << U(48)) | (mixed(elements + step) >> U(16)).min()
     return out
 
 
@@ -137,10 +144,10 @@ def _sets(documents: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
-            sets = [shingles(words.hashes(x.as_py())).tobytes() for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc", "set"])
+            sets = [shingles(words.hashes(x.as_py())).view(np.int64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "set"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc long, set binary")
+    return documents.select("doc_id", "text").mapInArrow(run, "doc long, set array<long>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -150,9 +157,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
+                p, q = x.values.to_numpy(), y.values.to_numpy()
                 both = np.concatenate([p, q])
-                both.sort(kind="stable")
+                both.sort()
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(100 * common >= percent * (len(p) + len(q) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -161,43 +168,69 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(of("a", "set_a"), "a").join(of("b", "set_b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
+#: Sizes of a class differ by this factor at most.
+CLASS = 1.04
+
+
+def _roles(members: DataFrame, percent: int) -> DataFrame:
+    """members (bucket, doc, n, solid, ...) once for each size class in which they may have a partner.
+
+    Of a pair the smaller is in the class of its size, if its bound reaches that size (`small`); the larger goes into
+    all classes between the least size that the similarity allows and its own size or its bound.
+    """
+    # 100 * common >= percent * union and common <= solid: a partner's size is at most bound
+    bound = F.floor(F.col("solid") * (100 + percent) / percent) - F.col("n")
+    size_class = lambda n: F.floor(F.log(n.cast("double")) / float(np.log(CLASS)))
+    low = F.ceil(F.col("n") * percent / 100)
+    m = members.withColumn("bound", bound).withColumn("own", size_class(F.col("n")))
+    top = F.least(F.col("own"), size_class(F.greatest("bound", F.lit(1))))
+    m = m.filter(F.col("bound") >= low).withColumn("class", F.explode(F.sequence(F.least(size_class(low), top), top)))
+    return m.withColumn("small", (F.col("class") == F.col("own")) & (F.col("bound") >= F.col("n"))).drop("own")
+
+
 def _first(active: DataFrame, pivots: int) -> DataFrame:
     """The pivots of each bucket; a large bucket is thinned in parts before it meets in one task."""
-    order = [F.desc("degree"), F.asc("doc")]
+    rows = active.filter("small")
     if pivots == 1:
-        top = active.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("doc")).alias("minus"), "n", "component")).alias("x"))
-        return top.select("bucket", (-F.col("x.minus")).alias("pivot"), F.col("x.n").alias("pivot_n"), F.col("x.component").alias("pivot_component"))
-    part = active.withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(256)))
-    for group in (["bucket", "part"], ["bucket"]):
-        part = part.withColumn("at", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("at") <= pivots)
-    return part.select("bucket", F.col("doc").alias("pivot"), F.col("n").alias("pivot_n"), F.col("component").alias("pivot_component"))
+        top = rows.groupBy("bucket", "class").agg(F.max(F.struct("degree", (-F.col("doc")).alias("minus"), "n", "solid", "component")).alias("x"))
+        return top.select("bucket", "class", (-F.col("x.minus")).alias("pivot"), F.col("x.n").alias("pivot_n"), F.col("x.solid").alias("pivot_solid"), F.col("x.component").alias("pivot_component"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(256)))
+    for group in (["bucket", "class", "part"], ["bucket", "class"]):
+        rows = rows.withColumn("at", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("degree"), "doc"))).filter(F.col("at") <= pivots)
+    return rows.select("bucket", "class", F.col("doc").alias("pivot"), F.col("n").alias("pivot_n"), F.col("solid").alias("pivot_solid"), F.col("component").alias("pivot_component"))
 
 
 def _settle(documents: DataFrame, buckets: DataFrame, config: NearDupConfig) -> DataFrame | None:
     """Links a, b that tie all classes that belong together; None without any. buckets: bucket, doc, n."""
+    percent = config.similarity_percent
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = materialise(buckets.join(sizes, "bucket"), "neardup-buckets")
-    degrees = materialise(shared.groupBy("doc").agg(F.sum("size").alias("degree"), F.count(F.lit(1)).alias("in_buckets")), "neardup-degrees")
+    degrees = materialise(shared.groupBy("doc").agg(F.sum("size").alias("degree")), "neardup-degrees")
     n = degrees.count()
     if not n:
         return None
     ids = degrees.select(F.col("doc").alias("doc_id"))
     ids = F.broadcast(ids) if n <= ID_ROWS else ids
     sets = materialise(_sets(documents.join(ids, "doc_id", "left_semi")).dropDuplicates(["doc"]), "neardup-sets")
-    active = shared.join(degrees.select("doc", "degree"), "doc").select("bucket", "doc", "n", "degree", F.col("doc").alias("component"))
-    links, pivots = None, 1
+    lone = sets.select("doc", F.explode("set").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("doc").alias("doc")).filter("k = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("lone"))
+    bounds = degrees.join(lone, "doc", "left").select("doc", "degree", F.coalesce("lone", F.lit(0)).alias("lone"))
+    members = shared.drop("size").join(bounds, "doc").withColumn("solid", F.col("n") - F.col("lone")).drop("lone")
+    active = _roles(members, percent).withColumn("component", F.col("doc"))
+    links, pivots, key = None, 1, ["bucket", "class"]
     while True:
-        open_ = active.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
-        active = materialise(active.join(open_, "bucket", "left_semi"), "neardup-active")
-        if active.isEmpty():
-            return links
+        # a bucket is open while small members are left and not all of its members are of one component
+        open_ = active.groupBy(*key).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.when(F.col("small"), F.col("n"))).alias("least")).filter("low <> high and least is not null")
+        active = materialise(active.join(open_.select(*key, "least"), key).filter("bound >= least").drop("least"), "neardup-active")
         chosen = materialise(_first(active, pivots), "neardup-pivots")
-        pairs = active.join(chosen, "bucket").filter((F.col("component") != F.col("pivot_component")) & (F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * config.similarity_percent))
+        if chosen.isEmpty():
+            return links
+        able = F.least("solid", "pivot_solid") * (100 + percent) >= (F.col("n") + F.col("pivot_n")) * percent
+        pairs = active.join(chosen, key).filter((F.col("component") != F.col("pivot_component")) & able)
         pairs = pairs.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
-        found = materialise(_linked(pairs, sets, config.similarity_percent), "neardup-links")
+        found = materialise(_linked(pairs, sets, percent), "neardup-links")
         links = found if links is None else links.unionByName(found)
         labels = components(links)
-        rest = active.join(chosen.select("bucket", F.col("pivot").alias("doc")), ["bucket", "doc"], "left_anti").drop("component")
+        rest = active.join(chosen.select(*key, F.col("pivot").alias("doc")), [*key, "doc"], "left_anti").drop("component")
         active = rest.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         pivots *= config.more_pivots
 
