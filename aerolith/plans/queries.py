@@ -210,7 +210,7 @@ OPEN_FROM = "(SELECT max(event_us) - 86400000000 FROM arrivals)"
 query("w16_safe_offsets", sql(f'SELECT part AS "partition", least(max(off) + 1, min(off) FILTER (event_us - event_us % {HOUR_US} + {HOUR_US} > {OPEN_FROM})) AS safe FROM log GROUP BY 1', LOG))(
     lambda s, d: windows.safe_offsets(log(s, d).crossJoin(arrivals(s, d).agg((F.max("event_us") - 86_400_000_000).alias("frontier"))), fn.tumble(F.col("event_us"), HOUR_US) + HOUR_US > F.col("frontier"))
 )
-query("s4_arrival_order", sql("SELECT event_id, copy, row_number() OVER (ORDER BY ingest_us, icao24, event_us, copy) AS at FROM arrivals QUALIFY at <= 500"))(
+query("s4_arrival_order", sql("SELECT event_id, copy, row_number() OVER (ORDER BY ingest_us, icao24, event_us, copy) AS \"at\" FROM arrivals QUALIFY \"at\" <= 500"))(
     lambda s, d: arrivals(s, d).orderBy(*windows.ORDER).limit(500).withColumn("at", F.row_number().over(Window.orderBy(*windows.ORDER))).select("event_id", "copy", "at")
 )
 query("k3_first_wins", sql("SELECT event_id, copy, ingest_us FROM firsts"))(lambda s, d: store.first_wins(arrivals(s, d), list(windows.KEY), list(windows.ORDER)).select("event_id", "copy", "ingest_us"))
@@ -351,7 +351,7 @@ query("n6_actions_before", sql("SELECT run, count(*) FILTER (lag > 2000) AS acti
     lambda s, d: samples(s, d).withColumn("i", F.row_number().over(Window.partitionBy("run").orderBy("at"))).filter("i < 20").groupBy("run").agg(F.count_if(F.col("lag") > 2000).alias("actions"))
 )
 query("n4_runs", sql("SELECT run, \"at\", lag, CASE WHEN lag > 1000 THEN row_number() OVER (PARTITION BY run, island ORDER BY \"at\") - CASE WHEN island > 0 THEN 1 ELSE 0 END ELSE 0 END AS streak FROM (SELECT *, sum(CASE WHEN lag > 1000 THEN 0 ELSE 1 END) OVER (PARTITION BY run ORDER BY \"at\") AS island FROM samples)", SAMPLES))(
-    lambda s, d: (lambda x: x.select("run", "at", "lag", F.when(F.col("lag") > 1000, F.row_number().over(Window.partitionBy("run", "island").orderBy("at")) - F.when(F.col("island") > 0, 1).otherwise(0)).otherwise(0).alias("streak")))(
+    lambda s, d: (lambda x: x.select("run", "at", "lag", F.when(F.col("lag") > 1000, F.row_number().over(Window.partitionBy("run", "island").orderBy("at")) - F.when(F.col("island") > 0, 1).otherwise(0)).otherwise(0).cast("long").alias("streak")))(
         samples(s, d).withColumn("island", F.sum(F.when(F.col("lag") > 1000, 0).otherwise(1)).over(Window.partitionBy("run").orderBy("at")))
     )
 )
@@ -397,6 +397,6 @@ query(
     lambda s, d: store.inversions(arrivals(s, d)).crossJoin(store.percentiles(arrivals(s, d), F.floor((F.col("ingest_us") - F.col("event_us")) / 1_000_000).cast("double")).select("p50", "p95", "p99", "maximum"))
     .crossJoin(arrivals(s, d).agg(F.count_if(F.floor((F.col("ingest_us") - F.col("event_us")) / 1_000_000) > 1800).alias("beyond")))
 )
-query("r8_arm", sql("SELECT run, max(lag) AS peak, arg_max(lag, at) AS final, count(*) FILTER (lag > 2000) AS high, round(100.0 * count(*) FILTER (lag <= 1000) / count(*), 4) AS calm_percent FROM samples GROUP BY run", SAMPLES))(
+query("r8_arm", sql("SELECT run, max(lag) AS peak, arg_max(lag, \"at\") AS final, count(*) FILTER (lag > 2000) AS high, round(100.0 * count(*) FILTER (lag <= 1000) / count(*), 4) AS calm_percent FROM samples GROUP BY run", SAMPLES))(
     lambda s, d: samples(s, d).groupBy("run").agg(F.max("lag").alias("peak"), F.max_by("lag", "at").alias("final"), F.count_if(F.col("lag") > 2000).alias("high"), F.round(F.count_if(F.col("lag") <= 1000) * 100.0 / F.count(F.lit(1)), 4).alias("calm_percent"))
 )
