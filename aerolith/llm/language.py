@@ -153,6 +153,7 @@ def fit(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> Model
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """documents with lang_pred and lang_score; the model travels as a broadcast, its size being bounded."""
+    documents = documents.drop("lang_pred", "lang_score")
     shared = documents.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*documents.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
 

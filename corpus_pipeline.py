@@ -43,11 +43,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; the part of a document is rounded up or down by a draw of its own."""
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(mixing.MixConfig().seed + 1)), F.lit(1 << 30)) / float(1 << 30)
     taken = mixing.mix(docs).filter("size > 0").withColumn("copies", F.floor(F.col("taken") / F.col("size") + drawn).cast("int"))
-    copies = materialise(taken.groupBy(F.col("doc_id").alias("of")).agg(F.max("copies").alias("copies")).filter("copies > 0"), "pipeline-copies")
+    copies = materialise(taken.groupBy(F.col("doc_id").alias("_mix_doc")).agg(F.max("copies").alias("_mix_copies")).filter("_mix_copies > 0"), "pipeline-copies")
     copies = F.broadcast(copies) if copies.count() <= neardup.ID_ROWS else copies
     names = docs.columns
-    mixed = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("of")))
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*names)
+    mixed = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_mix_doc")))
+    return mixed.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*names)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
