@@ -12,13 +12,14 @@ SF = "/root/testdata/sf0.001"
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     first, n = docs, docs.count()
-    blank = spark.createDataFrame([(10**6, "12 34", "en", "src0", 5), (10**6 + 1, None, None, None, None)], docs.schema)
-    docs = docs.unionByName(blank)
+    blank = [(10**6, "12 34", "en", "src0", 5), (10**6 + 1, None, None, None, None)]
+    kept = [(10**6 + 2, "the password = abcdef12345 is of the and that", "en", "src0", 45)]
+    docs, n = docs.unionByName(spark.createDataFrame(blank + kept, docs.schema)), n + 1
     names = [name for name, _ in cp.STAGES]
     assert names == ["language", "near_duplicates", "secrets", "mixing", "packing"]
 
     told = materialise(cp.identify_language(spark, docs, SF), "test")
-    assert told.columns == first.columns and told.count() == n and told.filter("doc_id >= 1000000").count() == 0
+    assert told.columns == first.columns and told.count() == n and told.filter("doc_id >= 1000000").count() == 1
 
     unique = materialise(cp.drop_near_duplicates(spark, told, SF), "test")
     judged = neardup.near_duplicates(told)
