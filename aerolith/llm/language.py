@@ -95,7 +95,7 @@ class Scorer(dict):
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words, m = words_of(text), self.model
-        if not words or not m.languages:
+        if not m.languages or not any(any(map(str.isalpha, w)) for w in words):  # numerals such as ² stand among letters
             return UNKNOWN, 0.0
         if len(self) > self.MOST:
             self.reset()

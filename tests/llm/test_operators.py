@@ -107,7 +107,7 @@ def test_language(spark):
     model = language.fit(sf.filter("not h and lang is not null and text is not null"))
     got = language.predict(sf.filter("h").withColumn("lang_pred", F.lit("x")), model).agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("a"), F.min("lang_score").alias("s"), F.max("lang_score").alias("t")).first()
     assert got.a >= 0.95 and 0 <= got.s and got.t <= 1
-    odd = language.predict(documents(spark, [None, "", "12 34 !?", "日本語"]), model).select("lang_pred", "lang_score").collect()
+    odd = language.predict(documents(spark, [None, "", "12 34 !? ²", "日本語"]), model).select("lang_pred", "lang_score").collect()
     assert [r.lang_pred for r in odd[:3]] == ["und"] * 3 and odd[3].lang_pred in model.languages
     none = language.fit(sf.limit(0))
     assert none.languages == [] and language.predict(sf.limit(3), none).filter("lang_pred <> 'und'").count() == 0
