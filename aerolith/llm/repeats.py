@@ -43,7 +43,7 @@ class RepeatConfig:
     home_bytes: int = 2 << 20
     homes_a_partition: int = 4
     minimizer_bucket_bytes: int = 32 << 20
-    context_bucket_bytes: int = 8 << 20
+    context_bucket_bytes: int = 2 << 20
 
 
 def minimizers(data: np.ndarray, length: int, gram: int) -> np.ndarray:

@@ -32,9 +32,11 @@ SHIFT = np.array([[next(d for d in range(V) if (r + d) % V in COVER and (s + d)
 
 def words_at(text: np.ndarray, n: int) -> np.ndarray:
     """The 8 bytes from each of the first n positions on, as big-endian numbers; text goes on for 7 bytes at least."""
-    x = text[: n + 7].astype(U)
-    x = (x[:-1] << U(8)) | x[1:]
-    x = (x[:-2] << U(16)) | x[2:]
+    x = text[: n + 7].astype(np.uint16)
+    x = (x[:-1] << np.uint16(8)) | x[1:]
+    x = x.astype(np.uint32)
+    x = (x[:-2] << np.uint32(16)) | x[2:]
+    x = x.astype(U)
     return (x[:-4] << U(32)) | x[4:]
 
 
@@ -50,12 +52,12 @@ class SuffixOrder:
         """By position; of sample positions the rank of the suffix to the depth, elsewhere 0."""
         total = self.n + V
         sample = np.flatnonzero(np.isin(np.arange(total) % V, COVER))
-        rank = np.zeros(total + self.depth + V, np.int64)
+        rank = np.zeros(total + self.depth + V, np.int32)
         rank[sample] = np.unique(self.words[sample], return_inverse=True)[1]
         reach = V
         while reach < self.depth:
             step = min(reach, -(-(self.depth - reach) // V) * V)  # a multiple of V leads from sample to sample
-            rank[sample] = np.unique((rank[sample] << 32) | rank[sample + step], return_inverse=True)[1]
+            rank[sample] = np.unique((rank[sample].astype(np.int64) << 32) | rank[sample + step], return_inverse=True)[1]
             reach += step
         return rank
 
