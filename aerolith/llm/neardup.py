@@ -14,7 +14,7 @@ are not compared.
 
 What is left is settled in rounds: some pivots of a bucket, those met in most buckets first, are compared on full sets
 with its other members that no chain of links ties to them yet; components are then joined, pivots leave, and buckets of
-one component are done. Each round takes four times as many pivots, so every pair that shares a bucket is compared, tied
+one component are done. Each round takes sixteen times as many pivots, so every pair that shares a bucket is compared, tied
 by links, or ruled out by the bound, while a group of m copies around one document costs m comparisons and not m squared.
 
 Cases: without words or text a set is empty and linked with nothing; with fewer than five words the whole sequence is
@@ -49,7 +49,7 @@ class NearDupConfig:
     similarity_percent: int = 85
     bands: int = 24
     rows: int = 5
-    more_pivots: int = 4
+    more_pivots: int = 16
 
 
 class Words(dict):
@@ -188,16 +188,19 @@ def _roles(members: DataFrame, percent: int) -> DataFrame:
     return m.withColumn("small", (F.col("class") == F.col("own")) & (F.col("bound") >= F.col("n"))).drop("own")
 
 
+PIVOT = ("n", "solid", "component", "bands")
+
+
 def _first(active: DataFrame, pivots: int) -> DataFrame:
     """The pivots of each bucket; a large bucket is thinned in parts before it meets in one task."""
     rows = active.filter("small")
     if pivots == 1:
-        top = rows.groupBy("bucket", "class").agg(F.max(F.struct("degree", (-F.col("doc")).alias("minus"), "n", "solid", "component")).alias("x"))
-        return top.select("bucket", "class", (-F.col("x.minus")).alias("pivot"), F.col("x.n").alias("pivot_n"), F.col("x.solid").alias("pivot_solid"), F.col("x.component").alias("pivot_component"))
+        top = rows.groupBy("bucket", "class").agg(F.max(F.struct("degree", (-F.col("doc")).alias("minus"), "n", "solid", "component", "bands")).alias("x"))
+        return top.select("bucket", "class", (-F.col("x.minus")).alias("pivot"), *[F.col(f"x.{c}").alias(f"pivot_{c}") for c in PIVOT])
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(256)))
     for group in (["bucket", "class", "part"], ["bucket", "class"]):
         rows = rows.withColumn("at", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("degree"), "doc"))).filter(F.col("at") <= pivots)
-    return rows.select("bucket", "class", F.col("doc").alias("pivot"), F.col("n").alias("pivot_n"), F.col("solid").alias("pivot_solid"), F.col("component").alias("pivot_component"))
+    return rows.select("bucket", "class", F.col("doc").alias("pivot"), *[F.col(c).alias(f"pivot_{c}") for c in PIVOT])
 
 
 def _settle(documents: DataFrame, buckets: DataFrame, config: NearDupConfig) -> DataFrame | None:
@@ -205,7 +208,7 @@ def _settle(documents: DataFrame, buckets: DataFrame, config: NearDupConfig) ->
     percent = config.similarity_percent
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = materialise(buckets.join(sizes, "bucket"), "neardup-buckets")
-    degrees = materialise(shared.groupBy("doc").agg(F.sum("size").alias("degree")), "neardup-degrees")
+    degrees = materialise(shared.groupBy("doc").agg(F.sum("size").alias("degree"), F.sort_array(F.collect_set("bucket")).alias("bands")), "neardup-degrees")
     n = degrees.count()
     if not n:
         return None
@@ -213,7 +216,7 @@ def _settle(documents: DataFrame, buckets: DataFrame, config: NearDupConfig) ->
     ids = F.broadcast(ids) if n <= ID_ROWS else ids
     sets = materialise(_sets(documents.join(ids, "doc_id", "left_semi")).dropDuplicates(["doc"]), "neardup-sets")
     lone = sets.select("doc", F.explode("set").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("doc").alias("doc")).filter("k = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("lone"))
-    bounds = degrees.join(lone, "doc", "left").select("doc", "degree", F.coalesce("lone", F.lit(0)).alias("lone"))
+    bounds = degrees.join(lone, "doc", "left").select("doc", "degree", "bands", F.coalesce("lone", F.lit(0)).alias("lone"))
     members = shared.drop("size").join(bounds, "doc").withColumn("solid", F.col("n") - F.col("lone")).drop("lone")
     active = _roles(members, percent).withColumn("component", F.col("doc"))
     links, pivots, key = None, 1, ["bucket", "class"]
@@ -225,7 +228,9 @@ def _settle(documents: DataFrame, buckets: DataFrame, config: NearDupConfig) ->
         if chosen.isEmpty():
             return links
         able = F.least("solid", "pivot_solid") * (100 + percent) >= (F.col("n") + F.col("pivot_n")) * percent
-        pairs = active.join(chosen, key).filter((F.col("component") != F.col("pivot_component")) & able)
+        # a pair is told of in the first bucket that it shares, and in no other
+        here = F.array_min(F.array_intersect("bands", "pivot_bands")) == F.col("bucket")
+        pairs = active.join(chosen, key).filter((F.col("component") != F.col("pivot_component")) & able & here)
         pairs = pairs.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
         found = materialise(_linked(pairs, sets, percent), "neardup-links")
         links = found if links is None else links.unionByName(found)
