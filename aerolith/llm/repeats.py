@@ -2,7 +2,7 @@
 
 A byte goes if a string of `length` bytes over it also starts in a document with a smaller doc_id. Texts are dealt into
 homes, groups of documents of a few MB. Every window of `length` bytes is keyed by its minimizer, the least hash of its
-20-byte strings, which equal windows share; windows that follow each other and share it are a run, and the bytes that
+28-byte strings, which equal windows share; windows that follow each other and share it are a run, and the bytes that
 its windows cover are its context.
 
 1. Homes send each minimizer once; the minimizers' buckets send back those that more than one document has.
@@ -34,15 +34,17 @@ from .arrow_text import utf8_slices
 from .suffixes import SuffixOrder, words_at
 
 U = np.uint64
+#: A minimizer's hash is cut to so many bits, the lowest of which is free. Two that meet by chance cost a little work.
+KEY_BITS = 48
 
 
 @dataclass(frozen=True)
 class RepeatConfig:
     length: int = 50
-    gram: int = 20
-    home_bytes: int = 2 << 20
-    homes_a_partition: int = 4
-    minimizer_bucket_bytes: int = 32 << 20
+    gram: int = 28
+    home_bytes: int = 1 << 20
+    homes_a_partition: int = 8
+    minimizer_bucket_bytes: int = 16 << 20
     context_bucket_bytes: int = 2 << 20
 
 
@@ -73,7 +75,7 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, config: RepeatConfig) -> tupl
     document = np.repeat(np.arange(len(count)), count)
     within = np.arange(len(document)) - np.repeat(np.cumsum(count) - count, count)
     at = offsets[document] + within
-    key = m[at]
+    key = m[at] >> U(64 - KEY_BITS) & ~U(1)
     new = np.ones(len(at), bool)
     new[1:] = (key[1:] != key[:-1]) | (document[1:] != document[:-1])
     start = np.flatnonzero(new)
@@ -91,7 +93,18 @@ def _home(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _buckets(keys: np.ndarray, n: int) -> np.ndarray:
-    return ((keys >> U(32)) * U(n)) >> U(32)
+    return ((keys >> U(KEY_BITS - 32)) * U(n)) >> U(32)
+
+
+def _short(keys: np.ndarray) -> bytes:
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : KEY_BITS // 8].tobytes()
+
+
+def _long(blob: bytes) -> np.ndarray:
+    blob = memoryview(blob)
+    out = np.zeros((blob.nbytes * 8 // KEY_BITS, 8), np.uint8)
+    out[:, : KEY_BITS // 8] = np.frombuffer(blob, np.uint8).reshape(-1, KEY_BITS // 8)
+    return out.view("<u8").reshape(-1).astype(U)
 
 
 def _send(config: RepeatConfig, n_buckets: int):
@@ -107,25 +120,25 @@ def _send(config: RepeatConfig, n_buckets: int):
         several = np.zeros(int(first.sum()), bool)
         other = np.flatnonzero(~first & (np.concatenate([[False], document[1:] != document[:-1]])))
         several[np.cumsum(first)[other] - 1] = True
-        key = (key[first] & ~U(1)) | several.astype(U)
+        key = key[first] | several.astype(U)
         bucket = _buckets(key, n_buckets)
         ends = np.searchsorted(bucket, np.arange(n_buckets + 1, dtype=U))
         filled = [b for b in range(n_buckets) if ends[b] < ends[b + 1]]
         home = t.column("home")[0].as_py() if t.num_rows else 0
-        return pa.table({"bucket": pa.array(filled, pa.int64()), "home": pa.array([home] * len(filled), pa.int64()), "keys": pa.array([key[ends[b] : ends[b + 1]].tobytes() for b in filled], pa.binary())})
+        return pa.table({"bucket": pa.array(filled, pa.int64()), "home": pa.array([home] * len(filled), pa.int64()), "keys": pa.array([_short(key[ends[b] : ends[b + 1]]) for b in filled], pa.binary())})
 
     return run
 
 
 def _shared(t: pa.Table) -> pa.Table:
     """Of a bucket of minimizers, for each home those that documents share."""
-    blobs = [np.frombuffer(x.as_buffer(), U) for x in t.column("keys")]
+    blobs = [_long(x.as_buffer()) for x in t.column("keys")]
     every = np.concatenate(blobs)
     every.sort()
     bare = every & ~U(1)
     twice = (bare[1:] == bare[:-1])
     wanted = np.unique(np.concatenate([bare[1:][twice], bare[(every & U(1)) == 1]]))
-    out = [(x & ~U(1))[np.isin(x & ~U(1), wanted, assume_unique=True)].tobytes() for x in blobs]
+    out = [_short((x & ~U(1))[_among(x & ~U(1), wanted)]) for x in blobs]
     return pa.table({"home": t.column("home"), "keys": pa.array(out, pa.binary())})
 
 
@@ -138,11 +151,11 @@ def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
 
 def _contexts(config: RepeatConfig, n_buckets: int):
     def run(t: pa.Table, shared: pa.Table) -> pa.Table:
-        wanted = np.sort(np.concatenate([np.zeros(0, U), *[np.frombuffer(x.as_buffer(), U) for x in shared.column("keys")]]))
+        wanted = np.sort(np.concatenate([np.zeros(0, U), *[_long(x.as_buffer()) for x in shared.column("keys")]]))
         ids, known, data, offsets = _home(t)
         document, at, count, key = runs_of(data, offsets, config)
-        keep = known[document] & _among(key & ~U(1), wanted)
-        document, at, count, key = ids[document[keep]].tolist(), at[keep].tolist(), count[keep].tolist(), key[keep] & ~U(1)
+        keep = known[document] & _among(key, wanted)
+        document, at, count, key = ids[document[keep]].tolist(), at[keep].tolist(), count[keep].tolist(), key[keep]
         bucket, raw, more = _buckets(key, n_buckets).tolist(), data.tobytes(), config.length - 1
         found: list[dict[bytes, list[int]]] = [{} for _ in range(n_buckets)]
         for d, a, c, b, k in zip(document, at, count, bucket, key.tolist(), strict=True):
@@ -242,8 +255,8 @@ def _cut(config: RepeatConfig, with_text: bool):
         values, widths, begin = column("values", np.int64), column("widths", np.int32).astype(np.int64), np.cumsum(n) - n
         place = {x: i for i, x in enumerate(zip(keys.tolist(), digests.tolist(), strict=True))}
         document, at, count, key = runs_of(data, offsets, config)
-        keep = known[document] & _among(key & ~U(1), np.unique(keys))
-        document, at, count, key = ids[document[keep]], at[keep], count[keep], key[keep] & ~U(1)
+        keep = known[document] & _among(key, np.unique(keys))
+        document, at, count, key = ids[document[keep]], at[keep], count[keep], key[keep]
         raw, more = data.tobytes(), config.length - 1
         digest = [xxhash.xxh3_64_intdigest(raw[a : a + c + more]) for a, c in zip(at.tolist(), count.tolist(), strict=True)]
         which = np.fromiter((place.get(x, -1) for x in zip(key.tolist(), digest, strict=True)), np.int64, len(digest))
