@@ -2,7 +2,7 @@
 
 A byte goes if a string of `length` bytes over it also starts in a document with a smaller doc_id. Texts are dealt into
 homes, groups of documents of a few MB. Every window of `length` bytes is keyed by its minimizer, the least hash of its
-28-byte strings, which equal windows share; windows that follow each other and share it are a run, and the bytes that
+20-byte strings, which equal windows share; windows that follow each other and share it are a run, and the bytes that
 its windows cover are its context.
 
 1. Homes send each minimizer once; the minimizers' buckets send back those that more than one document has.
@@ -41,11 +41,12 @@ KEY_BITS = 48
 @dataclass(frozen=True)
 class RepeatConfig:
     length: int = 50
-    gram: int = 28
+    gram: int = 20
     home_bytes: int = 1 << 20
     homes_a_partition: int = 8
     minimizer_bucket_bytes: int = 16 << 20
     context_bucket_bytes: int = 2 << 20
+    sorted_bytes: int = 3 << 20
 
 
 def minimizers(data: np.ndarray, length: int, gram: int) -> np.ndarray:
@@ -174,7 +175,8 @@ def _contexts(config: RepeatConfig, n_buckets: int):
         return pa.table({
             "bucket": pa.array(filled, pa.int64()), "home": pa.array([home] * len(filled), pa.int64()),
             "texts": blob(lambda x, _: b"".join(x), None), "sizes": blob(lambda x, kind: np.array(list(map(len, x)), kind).tobytes(), np.int32),
-            "least": blob(of(0), np.int64), "most": blob(of(1), np.int64), "keys": blob(of(2), U),
+            "least": blob(of(0), np.int64), "several": blob(lambda x, kind: np.array([y[1] > y[0] for y in x.values()], kind).tobytes(), np.uint8),
+            "keys": blob(lambda x, _: _short(np.array([y[2] for y in x.values()], U)), None),
         })
 
     return run
@@ -200,44 +202,65 @@ def first_documents(texts: list[bytes], least: np.ndarray, length: int) -> tuple
     return out, begin
 
 
+def _slices(keys: np.ndarray, sizes: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Indexes by key, in runs of about `most` bytes that part no key."""
+    order = np.argsort(keys, kind="stable")
+    upto, ordered = np.cumsum(sizes[order]), keys[order]
+    begin = 0
+    while begin < len(order):
+        end = max(begin, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + most, "right")) - 1)
+        end = int(np.searchsorted(ordered, ordered[end], "right"))
+        yield order[begin:end]
+        begin = end
+
+
 def _settle(config: RepeatConfig):
     def run(t: pa.Table) -> pa.Table:
         number: dict[bytes, int] = {}
         least: list[int] = []
-        rows = []
+        named: list[int] = []
+        rows, keys = [], [_long(x.as_buffer()) for x in t.column("keys")]
         for r in range(t.num_rows):
             raw = t.column("texts")[r].as_py()
             ends = np.cumsum(np.frombuffer(t.column("sizes")[r].as_py(), np.int32), dtype=np.int64)
             mine = []
-            for a, b, d in zip([0, *ends[:-1].tolist()], ends.tolist(), np.frombuffer(t.column("least")[r].as_py(), np.int64).tolist(), strict=True):
+            for a, b, d, key in zip([0, *ends[:-1].tolist()], ends.tolist(), np.frombuffer(t.column("least")[r].as_py(), np.int64).tolist(), keys[r].tolist(), strict=True):
                 context = raw[a:b]
                 k = number.get(context)
                 if k is None:
                     k = number[context] = len(least)
                     least.append(d)
+                    named.append(key)
                 elif d < least[k]:
                     least[k] = d
                 mine.append(k)
             rows.append(mine)
-        texts = list(number)
-        first, begin = first_documents(texts, np.array(least, np.int64), config.length)
-        end = np.append(begin[1:], len(first))
-        new = np.ones(len(first), bool)
-        new[1:] = first[1:] != first[:-1]
-        new[begin] = True
-        stretch = np.flatnonzero(new)
-        value, width = first[stretch], np.diff(np.append(stretch, len(first)))
-        low, high = np.searchsorted(stretch, begin), np.searchsorted(stretch, end)
-        smallest = np.minimum.reduceat(value, low) if len(low) else value
+        texts, earliest = list(number), np.array(least, np.int64)
+        low, high, smallest = (np.zeros(len(texts), np.int64) for _ in range(3))
+        values, widths, done = [], [], 0
+        # equal windows have equal keys, so keys can be sorted some at a time
+        for some in _slices(np.array(named, U), np.fromiter(map(len, texts), np.int64, len(texts)), config.sorted_bytes):
+            first, begin = first_documents([texts[k] for k in some.tolist()], earliest[some], config.length)
+            new = np.ones(len(first), bool)
+            new[1:] = first[1:] != first[:-1]
+            new[begin] = True
+            stretch = np.flatnonzero(new)
+            values.append(first[stretch])
+            widths.append(np.diff(np.append(stretch, len(first))))
+            low[some] = done + np.searchsorted(stretch, begin)
+            high[some] = done + np.searchsorted(stretch, np.append(begin[1:], len(first)))
+            smallest[some] = np.minimum.reduceat(first, begin)
+            done += len(stretch)
+        value, width = np.concatenate([np.zeros(0, np.int64), *values]), np.concatenate([np.zeros(0, np.int64), *widths])
         digest = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in texts), U, len(texts))
         out = {"home": t.column("home"), "keys": [], "digests": [], "stretches": [], "values": [], "widths": []}
         for r, mine in enumerate(rows):
             k = np.array(mine, np.int64)
-            cut = smallest[k] < np.frombuffer(t.column("most")[r].as_py(), np.int64)
+            cut = (smallest[k] < np.frombuffer(t.column("least")[r].as_py(), np.int64)) | (np.frombuffer(t.column("several")[r].as_py(), np.uint8) > 0)
             k = k[cut]
             n = high[k] - low[k]
             each = np.repeat(low[k] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            out["keys"].append(np.frombuffer(t.column("keys")[r].as_py(), U)[cut].tobytes())
+            out["keys"].append(_short(keys[r][cut]))
             out["digests"].append(digest[k].tobytes())
             out["stretches"].append(n.astype(np.int32).tobytes())
             out["values"].append(value[each].tobytes())
@@ -251,7 +274,8 @@ def _cut(config: RepeatConfig, with_text: bool):
     def run(t: pa.Table, results: pa.Table) -> pa.Table:
         ids, known, data, offsets = _home(t)
         column = lambda c, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(x.as_buffer(), kind) for x in results.column(c)]])
-        keys, digests, n = column("keys", U), column("digests", U), column("stretches", np.int32).astype(np.int64)
+        keys = np.concatenate([np.zeros(0, U), *[_long(x.as_buffer()) for x in results.column("keys")]])
+        digests, n = column("digests", U), column("stretches", np.int32).astype(np.int64)
         values, widths, begin = column("values", np.int64), column("widths", np.int32).astype(np.int64), np.cumsum(n) - n
         place = {x: i for i, x in enumerate(zip(keys.tolist(), digests.tolist(), strict=True))}
         document, at, count, key = runs_of(data, offsets, config)
@@ -302,7 +326,7 @@ def remove_repeats(documents: DataFrame, config: RepeatConfig = RepeatConfig(),
     sent = base.groupBy("home").applyInArrow(_send(config, few(config.minimizer_bucket_bytes)), "bucket long, home long, keys binary")
     shared = sent.groupBy("bucket").applyInArrow(_shared, "home long, keys binary")
     n_buckets = few(config.context_bucket_bytes)
-    contexts = base.groupBy("home").cogroup(shared.groupBy("home")).applyInArrow(_contexts(config, n_buckets), "bucket long, home long, texts binary, sizes binary, least binary, most binary, keys binary")
+    contexts = base.groupBy("home").cogroup(shared.groupBy("home")).applyInArrow(_contexts(config, n_buckets), "bucket long, home long, texts binary, sizes binary, least binary, several binary, keys binary")
     results = contexts.groupBy("bucket").applyInArrow(_settle(config), "home long, keys binary, digests binary, stretches binary, values binary, widths binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
     return base.groupBy("home").cogroup(results.groupBy("home")).applyInArrow(_cut(config, with_text), schema)

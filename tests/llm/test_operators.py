@@ -345,7 +345,7 @@ def plain_repeats(texts, length=50):
 
 @pytest.mark.parametrize("home", [1 << 20, 3000])
 def test_repeats(spark, docs, texts, home):
-    config = repeats.RepeatConfig(home_bytes=home, minimizer_bucket_bytes=20_000, context_bucket_bytes=15_000)
+    config = repeats.RepeatConfig(home_bytes=home, minimizer_bucket_bytes=20_000, context_bucket_bytes=15_000, sorted_bytes=2000)
     got = {r.doc_id: tuple(r)[1:] for r in repeats.remove_repeats(docs, config).collect()}
     assert got == dict(enumerate(plain_repeats(texts)))
 
