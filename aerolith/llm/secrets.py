@@ -59,16 +59,20 @@ class Scanner:
     combined: Dfa
     each: tuple[Dfa, ...]
 
+    def borders(self) -> np.ndarray:
+        """Of each byte: whether no match of any rule can hold it. Triggers alone don't tell: a rule goes on behind its own."""
+        return np.logical_and.reduce([(d.next.reshape(-1, d.n_classes) == d.dead).all(0)[d.classes] for d in self.each])
+
     def spans(self, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
         """Of the texts that have any: text -> (start, end, rule) in bytes of the text, by start and then rule."""
         hits, states = scan(self.combined, data, offsets)
         if not len(hits):
             return {}
-        resets = np.flatnonzero(self.combined.resetting()[data])
+        borders = np.flatnonzero(self.borders()[data])
         text = np.searchsorted(offsets, hits, "right") - 1
-        after = np.searchsorted(resets, hits)
-        low = np.maximum(offsets[text], np.where(after > 0, resets[after - 1] + 1, 0) if len(resets) else 0)
-        high = np.minimum(offsets[text + 1], np.where(after < len(resets), resets[np.minimum(after, len(resets) - 1)], len(data)) if len(resets) else len(data))
+        after = np.searchsorted(borders, hits)
+        low = np.maximum(offsets[text], np.where(after > 0, borders[after - 1] + 1, 0) if len(borders) else 0)
+        high = np.minimum(offsets[text + 1], np.where(after < len(borders), borders[np.minimum(after, len(borders) - 1)], len(data)) if len(borders) else len(data))
         todo: dict[tuple[int, int, int], int] = {}
         for t, a, b, s in zip(text.tolist(), low.tolist(), high.tolist(), states.tolist(), strict=True):
             todo[t, a, b] = todo.get((t, a, b), 0) | self.combined.accepts[s]
