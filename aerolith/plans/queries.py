@@ -211,7 +211,8 @@ query("w16_safe_offsets", sql(f'SELECT part AS "partition", least(max(off) + 1,
     lambda s, d: windows.safe_offsets(log(s, d).crossJoin(arrivals(s, d).agg((F.max("event_us") - 86_400_000_000).alias("frontier"))), fn.tumble(F.col("event_us"), HOUR_US) + HOUR_US > F.col("frontier"))
 )
 query("s4_arrival_order", sql("SELECT event_id, copy, row_number() OVER (ORDER BY ingest_us, icao24, event_us, copy) AS \"at\" FROM arrivals QUALIFY \"at\" <= 500"))(
-    lambda s, d: arrivals(s, d).orderBy(*windows.ORDER).limit(500).withColumn("at", F.row_number().over(Window.orderBy(*windows.ORDER))).select("event_id", "copy", "at")
+    # all arrivals are numbered; the first 500 are what the SQL asks for
+    lambda s, d: store.arrival_order(arrivals(s, d), list(windows.ORDER)).filter("at <= 500").select("event_id", "copy", "at")
 )
 query("k3_first_wins", sql("SELECT event_id, copy, ingest_us FROM firsts"))(lambda s, d: store.first_wins(arrivals(s, d), list(windows.KEY), list(windows.ORDER)).select("event_id", "copy", "ingest_us"))
 query("k2_upsert_new_rows", sql("SELECT event_id FROM firsts WHERE event_id NOT IN (SELECT event_id FROM flights WHERE event_id % 3 = 0)"))(
