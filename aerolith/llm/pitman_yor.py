@@ -57,6 +57,9 @@ class HpyConfig:
     strength: float = 1.0
     word_discount: float = 0.6
     word_strength: float = 10.0
+    pair_discount: float = 0.75
+    pair_strength: float = 2.0
+    hot: int = 400_000  # customers of a context beyond which it is dealt out
     sweeps: int = 6
     burn_in: int = 2
     seed: int = 7

@@ -1,16 +1,18 @@
 """Scoring texts by a hierarchical Pitman-Yor language model (see pitman_yor) and by add-0.1 unigrams.
 
-Tokens are words with A-Z lower-cased, then one end, which is spelled as the empty word. A restaurant of words, whose
-dishes are all training tokens, has the model of spellings as its base; that in turn is trained on one customer a word.
-Both scores are over the same events, the words seen in training and one more for all others: the model gives that one
-what the spellings leave to words not seen.
+Tokens are words with A-Z lower-cased, then one end, which is spelled as the empty word. A token's restaurant is that of
+the word in front of it (of the end, if there is none); the tables of all these are the customers of one restaurant
+without context, which has the model of spellings as its base; that in turn is trained on one customer a word. Both
+scores are over the same events, the words seen in training and one more for all others: the model gives that one what
+the spellings leave to words not seen.
 
-1. Texts become homes of a few MB: their documents' counts by word, and each word's training count, once a home.
+1. Texts become homes of a few MB: their documents' words by number, and each word's training count, once a home.
 2. Words meet in buckets. These give the totals, and the counts of symbols that the spellings are fitted to, which are
-   of bounded number.
-3. Buckets seat their words' customers; the number of tables, and the share of spellings that are known words, are
-   added up. Seated again alike, they send each home its words' training counts and log10 probabilities.
-4. Homes add up their documents.
+   of bounded number. A first estimate of words' probabilities, from all tokens, goes to each home.
+3. Homes send their distinct word pairs to buckets by context, those of a hot context to several by the second word.
+   Buckets seat the pairs' customers by the first estimate, and send each home its pairs' shares.
+4. Tables meet by word: as customers of the restaurant without context, and as sums of a context. They are seated there.
+5. Homes put both together and add up their documents.
 
 A word weighs a row a home at most in its bucket, however frequent.
 
@@ -20,18 +22,18 @@ texts of any length are read whole; an empty table gives an empty result; other
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_text import utf8_slices
 from .common import materialise
-from .pitman_yor import HpyConfig, fit_spelling, laid_out, quads, word_tables
+from .pitman_yor import HpyConfig, fit_spelling, laid_out, quads, seated, word_tables
 
 SMOOTHING = 0.1
 HOME_BYTES = 8 << 20
@@ -45,7 +47,7 @@ class Numbers(dict):
 
 
 def _homes(n_buckets: int):
-    names = ["home", "bucket", "words", "counts", "docs", "held", "sizes", "tokens", "index", "times"]
+    names = ["home", "bucket", "words", "counts", "docs", "held", "tokens", "seq", "hashes"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home = TaskContext.get().partitionId() << 32
@@ -53,31 +55,29 @@ def _homes(n_buckets: int):
             for row, end, data, offsets in utf8_slices(batch, limit=HOME_BYTES):
                 numbers, raw = Numbers(), data.tobytes().lower()
                 held = np.asarray(batch.column(2).slice(row, end - row).to_numpy(zero_copy_only=False), bool)
-                index, times, sizes, tokens, train = [], [], [], [], []
+                seq, tokens, train = [], [], [np.zeros(0, np.int32)]
                 for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
                     words = raw[a:b].split()
                     words.append(b"")
                     ids = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
                     if not held[i]:
                         train.append(ids)
-                    ids, n = np.unique(ids, return_counts=True)
-                    index.append(ids)
-                    times.append(n.astype(np.int32))
-                    sizes.append(len(ids))
+                    seq.append(ids)
                     tokens.append(len(words))
                 words = list(numbers)
-                count = np.bincount(np.concatenate([np.zeros(0, np.int32), *train]), minlength=len(words))
-                bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % n_buckets
+                count = np.bincount(np.concatenate(train), minlength=len(words))
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+                bucket = (hashes % np.uint64(n_buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 place = np.empty(len(words), np.int32)
                 place[order] = np.arange(len(words))
                 ends = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
                 filled = [b for b in range(n_buckets) if ends[b] < ends[b + 1]]
                 ordered = [words[k] for k in order.tolist()]
-                rows = [(home, b, b"\n".join(ordered[ends[b] : ends[b + 1]]), count[order[ends[b] : ends[b + 1]]].astype(np.int64).tobytes(), *[None] * 6) for b in filled]
+                rows = [(home, b, b"\n".join(ordered[ends[b] : ends[b + 1]]), count[order[ends[b] : ends[b + 1]]].astype(np.int64).tobytes(), *[None] * 5) for b in filled]
                 ids = pa.array(batch.column(0)).slice(row, end - row).to_pylist()
-                rows.append((home, -1, None, None, ids, held.tolist(), np.array(sizes, np.int32).tobytes(), np.array(tokens, np.int64).tobytes(), place[np.concatenate(index)].tobytes(), np.concatenate(times).tobytes()))
-                types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4]
+                rows.append((home, -1, None, None, ids, held.tolist(), np.array(tokens, np.int64).tobytes(), place[np.concatenate(seq)].tobytes(), hashes[order].tobytes()))
+                types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 3]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
                 home += 1
 
@@ -138,24 +138,140 @@ def _scores(spelling, n: int, types: int, tables_all: float, unseen: float, conf
     return run
 
 
+def _of(t: pa.Table, c: str, kind) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in t.column(c))])
+
+
+class Pairs:
+    """A home's distinct pairs of (word in front, word) by place, by bucket and then by context; pair: of each token."""
+
+    def __init__(self, t: pa.Table, counts: np.ndarray, n_buckets: int, config: HpyConfig):
+        seq, self.tokens, self.hashes = _of(t, "seq", np.int32).astype(np.int64), _of(t, "tokens", np.int64), _of(t, "hashes", np.uint64)
+        self.begin = np.cumsum(self.tokens) - self.tokens
+        front = np.roll(seq, 1)
+        front[self.begin] = seq[-1]  # the end
+        keys, pair = np.unique(front * len(counts) + seq, return_inverse=True)
+        self.front, self.word = keys // len(counts), keys % len(counts)
+        self.salts = np.clip(-(-counts // config.hot), 1, n_buckets)
+        h, n = self.hashes, np.uint64(n_buckets)
+        bucket = (h[self.front] % n + (h[self.word] >> np.uint64(32)) % self.salts[self.front].astype(np.uint64)) % n
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.front, self.word, self.bucket, self.pair, self.seq = self.front[order], self.word[order], bucket[order].astype(np.int64), place[pair], seq
+
+
+PAIRS = "home long, bucket long, fronts binary, runs binary, salts binary, words binary, counts binary, logs binary"
+
+
+def _pairs(n_buckets: int, config: HpyConfig):
+    names = [x.split()[0] for x in PAIRS.split(", ")]
+
+    def run(t: pa.Table, results: pa.Table) -> pa.Table:
+        results = results.sort_by("bucket")
+        counts, logs = _of(results, "counts", np.int64), _of(results, "logs", np.float64)
+        p = Pairs(t, counts, n_buckets, config)
+        train = np.repeat(~np.array(t.column("held")[0].as_py(), bool), p.tokens)
+        n = np.bincount(p.pair[train], minlength=len(p.word)).astype(np.int32)
+        rows, home = [], t.column("home")[0].as_py()
+        for a, b in zip(*(lambda e: (e[:-1], e[1:]))(np.append(np.flatnonzero(np.diff(p.bucket, prepend=-1)), len(p.bucket)).tolist()), strict=True):
+            front, word = p.front[a:b], p.word[a:b]
+            at = np.flatnonzero(np.diff(front, prepend=-1))
+            runs = np.diff(np.append(at, b - a)).astype(np.int32)
+            rows.append((home, int(p.bucket[a]), *(x.tobytes() for x in (p.hashes[front[at]], runs, p.salts[front[at]].astype(np.int32), p.hashes[word], n[a:b], logs[word].astype(np.float32)))))
+        return pa.table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)), pa.schema([(x, pa.int64() if x in ("home", "bucket") else pa.binary()) for x in names]))
+
+    return run
+
+
+SEATED = "home long, bucket long, shares binary, keys binary, customers binary, tables binary"
+
+
+def _pair_seats(n_buckets: int, config: HpyConfig):
+    d, theta = config.pair_discount, config.pair_strength
+
+    def run(t: pa.Table) -> pa.Table:
+        bucket = t.column("bucket")[0].as_py()
+        runs, words = _of(t, "runs", np.int32), _of(t, "words", np.uint64)
+        fronts, salts = np.repeat(_of(t, "fronts", np.uint64), runs), np.repeat(_of(t, "salts", np.int32), runs)
+        with np.errstate(over="ignore"):
+            mixed_ = (fronts ^ (fronts >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + words
+        _, first, of = np.unique(mixed_, return_index=True, return_inverse=True)
+        n = np.bincount(of, _of(t, "counts", np.int32)).astype(np.int64)
+        p = np.power(10.0, _of(t, "logs", np.float32)[first].astype(np.float64))
+        names, front = np.unique(fronts[first], return_inverse=True)
+        all_ = np.ones(len(names))
+        all_[front] = salts[first]
+        rng = np.random.default_rng([config.seed, 1, bucket])
+        tables, mean = (n > 0).astype(np.float64), np.zeros(len(n))
+        for sweep in range(config.sweeps):
+            # of a context dealt out, the other words here stand for those elsewhere
+            total = tables + (np.bincount(front, tables, len(names))[front] - tables) * all_[front]
+            tables = seated(n, (theta + d * total) * p, d, rng).astype(np.float64)
+            if sweep >= config.burn_in:
+                mean += tables
+        mean /= config.sweeps - config.burn_in
+        share = np.maximum(n - d * mean, 0)[of]
+        ends = np.cumsum([len(x.as_buffer()) // 8 for x in t.column("words")])
+        rows = [(h, bucket, x.tobytes(), None, None, None) for h, x in zip(t.column("home").to_pylist(), np.split(share, ends[:-1]), strict=True)]
+        keys, where = np.unique(np.concatenate([names, words[first]]), return_inverse=True)
+        as_front = np.bincount(where[: len(names)], np.bincount(front, mean, len(names)), len(keys))
+        customers = np.bincount(where[len(names) :], mean, len(keys))
+        to = keys % np.uint64(n_buckets)
+        for b in np.unique(to).tolist():
+            k = to == b
+            rows.append((-1, b, None, keys[k].tobytes(), customers[k].tobytes(), as_front[k].tobytes()))
+        types = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
+        return pa.table([pa.array(c, ty) for c, ty in zip(zip(*rows, strict=True), types, strict=True)], names=[x.split()[0] for x in SEATED.split(", ")])
+
+    return run
+
+
+WORDS = "home long, bucket long, counts binary, shares binary, mass binary, fronts binary, customers double, tables double"
+
+
+def _word_seats(spelling, types: int, unseen: float, config: HpyConfig):
+    def run(t: pa.Table, met: pa.Table) -> pa.Table:
+        words, counts, rows = _merged(t)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        sums = []
+        keys, at = np.unique(_of(met, "keys", np.uint64), return_inverse=True)
+        for c in ("customers", "tables"):
+            total = np.append(np.bincount(at, _of(met, c, np.float64), len(keys)), 0.0)
+            found = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
+            sums.append(total[np.where(keys[found] == hashes, found, len(keys))] if len(keys) else np.zeros(len(words)))
+        customers = np.where(counts > 0, np.maximum(1, np.rint(sums[0])), 0).astype(np.int64)
+        base, bucket = spelling.value.log_probability(words), t.column("bucket")[0].as_py()
+        tables = word_tables(customers, base, types, config, bucket)
+        share = np.maximum(customers - config.word_discount * tables, 0)
+        mass = np.where(counts > 0, np.power(10.0, base), unseen)
+        out = {"home": t.column("home"), "bucket": t.column("bucket")}
+        out |= {c: pa.array([x[k].tobytes() for k in rows], pa.binary()) for c, x in (("counts", counts), ("shares", share), ("mass", mass), ("fronts", sums[1]))}
+        one = np.arange(len(rows)) == 0
+        return pa.table(out | {"customers": pa.array(one * float(customers.sum())), "tables": pa.array(one * float(tables.sum()))})
+
+    return run
+
+
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _added(n: int, types: int):
+def _added(n: int, types: int, customers: float, tables: float, n_buckets: int, config: HpyConfig):
     def run(t: pa.Table, results: pa.Table) -> pa.Table:
         results = results.sort_by("bucket")
-        counts = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in results.column("counts")])
-        logs = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in results.column("logs")])
-        of = lambda c, kind: np.frombuffer(t.column(c)[0].as_py(), kind)
-        index, times, sizes = of("index", np.int32), of("times", np.int32).astype(np.int64), of("sizes", np.int32).astype(np.int64)
-        begin = np.cumsum(sizes) - sizes
-        add = lambda x: np.add.reduceat(x, begin)
+        pairs, words = results.filter(results.column("counts").is_null()), results.filter(results.column("counts").is_valid())
+        counts = _of(words, "counts", np.int64)
+        p = Pairs(t, counts, n_buckets, config)
+        word = (_of(words, "shares", np.float64) + (config.word_strength + config.word_discount * tables) * _of(words, "mass", np.float64)) / (config.word_strength + customers)
+        left = config.pair_strength + config.pair_discount * _of(words, "fronts", np.float64)
+        log = np.log10((_of(pairs, "shares", np.float64) + left[p.front] * word[p.word]) / (config.pair_strength + counts[p.front]))
         unigram = np.log10((counts + SMOOTHING) / (n + SMOOTHING * (types + 1)))
+        add = lambda x: np.add.reduceat(x, p.begin)
         docs = t.column("docs")[0].as_py()
         return pa.table({
-            "doc_id": pa.array(docs, pa.int64()), "held_out": pa.array(t.column("held")[0].as_py(), pa.bool_()), "n_tokens": pa.array(of("tokens", np.int64)),
-            "n_known": pa.array(add(np.where(counts[index] > 0, times, 0))), "train_tokens": pa.array(np.full(len(docs), n, np.int64)),
-            "base_score": pa.array(add(unigram[index] * times)), "score": pa.array(add(logs[index] * times)),
+            "doc_id": pa.array(docs, pa.int64()), "held_out": pa.array(t.column("held")[0].as_py(), pa.bool_()), "n_tokens": pa.array(p.tokens),
+            "n_known": pa.array(add((counts[p.seq] > 0).astype(np.int64))), "train_tokens": pa.array(np.full(len(docs), n, np.int64)),
+            "base_score": pa.array(add(unigram[p.seq])), "score": pa.array(add(log[p.pair])),
         })
 
     return run
@@ -166,7 +282,7 @@ def score(documents: DataFrame, held_out: Column, config: HpyConfig = HpyConfig(
     spark = documents.sparkSession
     total = documents.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n_buckets = max(1, -(-total // BUCKET_BYTES))
-    schema = "home long, bucket long, words binary, counts binary, docs array<long>, held array<boolean>, sizes binary, tokens binary, index binary, times binary"
+    schema = "home long, bucket long, words binary, counts binary, docs array<long>, held array<boolean>, tokens binary, seq binary, hashes binary"
     homes = materialise(documents.select("doc_id", "text", held_out.alias("held_out")).mapInArrow(_homes(n_buckets), schema), "scoring-homes")
     words = homes.filter("bucket >= 0").select("home", "bucket", "words", "counts").groupBy("bucket")
     totals = words.applyInArrow(_totals, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
@@ -178,8 +294,15 @@ def score(documents: DataFrame, held_out: Column, config: HpyConfig = HpyConfig(
     seats = words.applyInArrow(_seats(shared, types, config), "tables double, spelled double").agg(F.sum("tables").alias("tables"), F.sum("spelled").alias("spelled")).first()
     unseen = max(1.0 - (seats["spelled"] or 0.0), 1e-9)
     results = words.applyInArrow(_scores(shared, n, types, seats["tables"] or 0.0, unseen, config), "home long, bucket long, counts binary, logs binary")
-    documents_ = homes.filter("bucket < 0").select("home", "docs", "held", "sizes", "tokens", "index", "times")
-    return documents_.groupBy("home").cogroup(results.groupBy("home")).applyInArrow(_added(n, types), SCORED)
+    documents_ = homes.filter("bucket < 0").select("home", "docs", "held", "tokens", "seq", "hashes")
+    pairs = documents_.groupBy("home").cogroup(results.groupBy("home")).applyInArrow(_pairs(n_buckets, config), PAIRS)
+    seated_ = materialise(pairs.groupBy("bucket").applyInArrow(_pair_seats(n_buckets, config), SEATED), "scoring-pairs")
+    met = seated_.filter("home < 0").select("bucket", "keys", "customers", "tables")
+    final = materialise(words.cogroup(met.groupBy("bucket")).applyInArrow(_word_seats(shared, types, unseen, config), WORDS), "scoring-words")
+    sums = final.agg(F.sum("customers").alias("customers"), F.sum("tables").alias("tables")).first()
+    shares = seated_.filter("home >= 0").select("home", "bucket", "shares").unionByName(final.drop("customers", "tables"), allowMissingColumns=True)
+    added = _added(n, types, sums["customers"] or 0.0, sums["tables"] or 0.0, n_buckets, config)
+    return documents_.groupBy("home").cogroup(shares.groupBy("home")).applyInArrow(added, SCORED)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:
