@@ -19,10 +19,14 @@ CHECKPOINT = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one where none is named, as in tests."""
+    """The shared folder that the cluster names. One that is not named is made up for a local master alone, as in tests:
+    on a cluster executors would each write to a disk of their own."""
     root = spark.conf.get(CHECKPOINT, None) or spark.sparkContext.getConf().get(CHECKPOINT)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="aerolith-")
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT} to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="aerolith-")  # one machine
         spark.conf.set(CHECKPOINT, root)
     return root
 
@@ -35,11 +39,22 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Deletes the scratch tables of this and earlier calls; for the end of a job, when no result is still to be read."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/aerolith")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def drop_scratch(spark: SparkSession, *labels: str) -> None:
+    """Deletes scratch tables: all of them, or those whose label begins so; for when no result on them is still to be read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for label in labels or ("",):
+        path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/aerolith/{label}*")
+        files = path.getFileSystem(conf)
+        for found in files.globStatus(path) or ():
+            files.delete(found.getPath(), True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files hold it in fewer parts; a table of as many parts as there are cores is left as
+    it is, so a large one is never shuffled. The parts that have rows are counted without reading a column."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = df.select(F.spark_partition_id().alias("part")).groupBy("part").count().count()
+    return df.repartition(cores) if parts < cores else df
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

@@ -38,13 +38,18 @@ class MixConfig:
     rounds: int = 12
 
 
+def row_key() -> Column:
+    """Names a row; rows that agree in it are alike for the mix."""
+    return F.xxhash64("doc_id", "source", "text")
+
+
 def word_sizes(documents: DataFrame) -> DataFrame:
     """doc_id, source, size (words of the text; 0 for null) and tie, which orders rows of equal doc_id."""
     return documents.select(
         "doc_id",
         "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64("doc_id", "source", "text").alias("tie"),
+        row_key().alias("tie"),
     )
 
 
@@ -113,7 +118,7 @@ def plan_mix(documents: DataFrame, config: MixConfig = MixConfig()) -> tuple[Dat
         placed.withColumn("row", F.row_number().over(within))
         .withColumn("before", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
         .join(starts, ["src", "chunk"])
-        .select("doc_id", "size", "src", "chunk", "row", (F.col("start") + F.col("before")).alias("offset"))
+        .select("doc_id", "size", "tie", "src", "chunk", "row", (F.col("start") + F.col("before")).alias("offset"))
     )
     docs = materialise(docs, "mix-docs")
 
@@ -145,7 +150,7 @@ def plan_mix(documents: DataFrame, config: MixConfig = MixConfig()) -> tuple[Dat
 
 
 def mix(documents: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
-    """doc_id, size, source_size, target, taken: what the mix takes of each document, in words with repeats."""
+    """doc_id, size, source_size, target, taken (what the mix takes of each document, in words with repeats) and row_key."""
     docs, slots, sources, n_sources = plan_mix(documents, config)
     block = F.lit(config.block_words)
     begin, end = F.col("offset"), F.col("offset") + F.col("size")
@@ -156,5 +161,5 @@ def mix(documents: DataFrame, config: MixConfig = MixConfig()) -> DataFrame:
     return (
         docs.join(taken, ["src", "chunk", "row"], "left")
         .join(small(sources.select("src", "source_size", "target"), n_sources), "src")
-        .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+        .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), F.col("tie").alias("row_key"))
     )

@@ -6,20 +6,25 @@ empty is given to every shingle in a round of its own. So each coordinate is fil
 probability of their Jaccard similarity, and their agreement is concentrated about it. Bands of rows of the sketch are
 bucket keys: with 24 bands of 5 rows a pair at similarity 0.85 shares none with a probability of 8e-7.
 
-Documents of equal sets are one class, of which the smallest doc_id stands for all. A shingle that no other document
-in a bucket with company has is in no intersection, so a document's other shingles, its solid ones, bound the size of
-each of its possible partners from above. Buckets are split by size class, and a document goes only into the classes
-that hold sizes it can be linked with: edited copies that have drifted too far from all others leave by this bound and
-are not compared.
-
-What is left is settled in rounds: some pivots of a bucket, those met in most buckets first, are compared on full sets
-with its other members that no chain of links ties to them yet; components are then joined, pivots leave, and buckets of
-one component are done. Each round takes sixteen times as many pivots, so every pair that shares a bucket is compared, tied
-by links, or ruled out by the bound, while a group of m copies around one document costs m comparisons and not m squared.
+Documents of equal sets are one class, which has a number of its own, so rows that share a doc_id but not a text are kept
+apart; such classes are linked with each other, being one document. A shingle that no other class in a bucket with company
+has is in no intersection, so a class's other shingles, its solid ones, bound the size of each of its possible partners
+from above. Buckets are split by size class, and a class goes only into those that hold sizes it can be linked with:
+edited copies that have drifted too far from all others leave by this bound and are not compared.
+
+What is left is settled in rounds: some pivots of a bucket, those met in most buckets first, are compared with its other
+members that no chain of links ties to them yet; components are then joined, pivots leave, and buckets of one component
+are done. Each round takes sixteen times as many pivots, so every pair that shares a bucket is compared, tied by links, or
+ruled out by a bound. The size of a symmetric difference is a metric, and an odd sketch of each set (the parities of how
+many of its shingles fall into each of 1,024 cells) bounds it from below: two sketches differ in no more cells than the
+sets differ in shingles. A pair whose sketches differ in more cells than a linked pair's sets may is dropped inside the
+join, so what the join makes is little more than true links between components, however large a group of drifted copies
+is. Only those are then compared on full sets. Where sets are much larger than sketches the bound says less, and pairs
+are compared in full.
 
 Cases: without words or text a set is empty and linked with nothing; with fewer than five words the whole sequence is
-the only shingle; equal rows are equal members; a row without doc_id is linked with nothing, has no component and is
-kept; an empty table gives an empty result; other columns are ignored.
+the only shingle; equal rows are equal members; rows of one doc_id and unlike texts are linked; a row without doc_id is
+linked with nothing, has no component and is kept; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,10 +35,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialise
+from .common import materialise, spread
 from .graph import components
 
 SHINGLE = 5
@@ -55,7 +61,7 @@ class NearDupConfig:
 class Words(dict):
     """64-bit hashes of words seen lately."""
 
-    MOST = 400_000
+    MOST = 120_000
 
     def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -119,35 +125,63 @@ def band_keys(coordinates: np.ndarray, bands: int) -> np.ndarray:
     return h
 
 
-def signatures(documents: DataFrame, config: NearDupConfig = NearDupConfig()) -> DataFrame:
-    """doc_id, n_shingles, two halves of a digest of the set, and band keys (empty for an empty set)."""
+DIGEST = ("n_shingles", "digest1", "digest2")
+
+
+def _digests(s: np.ndarray) -> tuple[int, int]:
+    return mixed(s).sum().astype(np.int64), mixed(s + GOLD).sum().astype(np.int64)
+
+
+def signatures(documents: DataFrame, config: NearDupConfig = NearDupConfig(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, two halves of a digest of the set, and band keys (empty for an empty set); and the columns keep."""
+    kept = documents.select("doc_id", "text", *keep)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words, none = Words(), np.zeros(0, np.int64)
         for batch in batches:
             size, one, two, keys = [], [], [], []
             for text in batch.column(1):
                 s = shingles(words.hashes(text.as_py()))
                 size.append(len(s))
-                one.append(mixed(s).sum().astype(np.int64))
-                two.append(mixed(s + GOLD).sum().astype(np.int64))
-                keys.append(band_keys(sketch(s, config.bands * config.rows), config.bands).view(np.int64) if len(s) else np.zeros(0, np.int64))
+                a, b = _digests(s)
+                one.append(a)
+                two.append(b)
+                keys.append(band_keys(sketch(s, config.bands * config.rows), config.bands).view(np.int64) if len(s) else none)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "digest1", "digest2", "bands"],
+                [batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64())), *batch.columns[2:]],
+                names=["doc_id", *DIGEST, "bands", *keep],
             )
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest1 long, digest2 long, bands array<long>")
+    fields = [T.StructField(c, T.LongType()) for c in ("doc_id", *DIGEST)] + [T.StructField("bands", T.ArrayType(T.LongType()))]
+    return kept.mapInArrow(run, T.StructType(fields + [kept.schema[c] for c in keep]))
+
+
+#: Longs of an odd sketch.
+ODD = tuple(f"odd{k}" for k in range(16))
+
+
+def odd_sketch(elements: np.ndarray) -> np.ndarray:
+    """Of each cell the parity of the elements in it, packed."""
+    cells = 64 * len(ODD)
+    h = mixed(elements ^ MIX_B) & U(cells - 1)
+    return np.packbits(np.bincount(h.astype(np.intp), minlength=cells).astype(np.uint8) & 1).view(np.int64)
 
 
 def _sets(documents: DataFrame) -> DataFrame:
+    names = ["doc_id", *DIGEST, "set", *ODD]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
-            sets = [shingles(words.hashes(x.as_py())).view(np.int64) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "set"])
+            sets = [shingles(words.hashes(x.as_py())) for x in batch.column(1)]
+            digests = [_digests(s) for s in sets]
+            odd = np.array([odd_sketch(s) for s in sets], np.int64).reshape(-1, len(ODD))
+            columns = [[len(s) for s in sets], [x for x, _ in digests], [y for _, y in digests]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(c, pa.int64()) for c in columns), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), *(pa.array(c) for c in odd.T.copy())], names=names
+            )
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc long, set array<long>")
+    return documents.select("doc_id", "text").mapInArrow(run, ", ".join(f"{c} {'array<long>' if c == 'set' else 'long'}" for c in names))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -188,14 +222,14 @@ def _roles(members: DataFrame, percent: int) -> DataFrame:
     return m.withColumn("small", (F.col("class") == F.col("own")) & (F.col("bound") >= F.col("n"))).drop("own")
 
 
-PIVOT = ("n", "solid", "component", "bands")
+PIVOT = ("n", "solid", "component", "bands", *ODD)
 
 
 def _first(active: DataFrame, pivots: int) -> DataFrame:
     """The pivots of each bucket; a large bucket is thinned in parts before it meets in one task."""
     rows = active.filter("small")
     if pivots == 1:
-        top = rows.groupBy("bucket", "class").agg(F.max(F.struct("degree", (-F.col("doc")).alias("minus"), "n", "solid", "component", "bands")).alias("x"))
+        top = rows.groupBy("bucket", "class").agg(F.max(F.struct("degree", (-F.col("doc")).alias("minus"), *PIVOT)).alias("x"))
         return top.select("bucket", "class", (-F.col("x.minus")).alias("pivot"), *[F.col(f"x.{c}").alias(f"pivot_{c}") for c in PIVOT])
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(256)))
     for group in (["bucket", "class", "part"], ["bucket", "class"]):
@@ -203,57 +237,78 @@ def _first(active: DataFrame, pivots: int) -> DataFrame:
     return rows.select("bucket", "class", F.col("doc").alias("pivot"), *[F.col(c).alias(f"pivot_{c}") for c in PIVOT])
 
 
-def _settle(documents: DataFrame, buckets: DataFrame, config: NearDupConfig) -> DataFrame | None:
-    """Links a, b that tie all classes that belong together; None without any. buckets: bucket, doc, n."""
+def _settle(documents: DataFrame, classes: DataFrame, config: NearDupConfig) -> DataFrame | None:
+    """node and component of all classes that are linked with another; None without any."""
     percent = config.similarity_percent
+    buckets = classes.select(F.explode("bands").alias("bucket"), F.col("node").alias("doc"), F.col("n_shingles").alias("n"))
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = materialise(buckets.join(sizes, "bucket"), "neardup-buckets")
     degrees = materialise(shared.groupBy("doc").agg(F.sum("size").alias("degree"), F.sort_array(F.collect_set("bucket")).alias("bands")), "neardup-degrees")
     n = degrees.count()
     if not n:
         return None
-    ids = degrees.select(F.col("doc").alias("doc_id"))
-    ids = F.broadcast(ids) if n <= ID_ROWS else ids
-    sets = materialise(_sets(documents.join(ids, "doc_id", "left_semi")).dropDuplicates(["doc"]), "neardup-sets")
+    few = lambda df: F.broadcast(df) if n <= ID_ROWS else df
+    met = materialise(classes.select(*DIGEST, "node", "class_id").join(few(degrees.select(F.col("doc").alias("node"))), "node", "left_semi"), "neardup-met")
+    texts = documents.join(few(met.select(F.col("class_id").alias("doc_id")).distinct()), "doc_id", "left_semi")
+    named = _sets(texts).join(few(met), [*DIGEST]).filter("doc_id = class_id").select(F.col("node").alias("doc"), "set", *ODD)
+    sets = materialise(named.dropDuplicates(["doc"]), "neardup-sets")
     lone = sets.select("doc", F.explode("set").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("doc").alias("doc")).filter("k = 1").groupBy("doc").agg(F.count(F.lit(1)).alias("lone"))
-    bounds = degrees.join(lone, "doc", "left").select("doc", "degree", "bands", F.coalesce("lone", F.lit(0)).alias("lone"))
+    bounds = degrees.join(lone, "doc", "left").join(sets.select("doc", *ODD), "doc").select("doc", "degree", "bands", *ODD, F.coalesce("lone", F.lit(0)).alias("lone"))
     members = shared.drop("size").join(bounds, "doc").withColumn("solid", F.col("n") - F.col("lone")).drop("lone")
     active = _roles(members, percent).withColumn("component", F.col("doc"))
-    links, pivots, key = None, 1, ["bucket", "class"]
+    labels, pivots, key = None, 1, ["bucket", "class"]
+    # 100 * common >= percent * union, so 100 + percent times the difference is at most 100 - percent times both sizes
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"pivot_{c}"))) for c in ODD), F.lit(0)).cast("long")
+    near = differ * (100 + percent) <= (F.col("n") + F.col("pivot_n")) * (100 - percent)
+    able = F.least("solid", "pivot_solid") * (100 + percent) >= (F.col("n") + F.col("pivot_n")) * percent
+    # a pair is told of in the first bucket that it shares, and in no other
+    here = F.array_min(F.array_intersect("bands", "pivot_bands")) == F.col("bucket")
     while True:
         # a bucket is open while small members are left and not all of its members are of one component
         open_ = active.groupBy(*key).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.when(F.col("small"), F.col("n"))).alias("least")).filter("low <> high and least is not null")
         active = materialise(active.join(open_.select(*key, "least"), key).filter("bound >= least").drop("least"), "neardup-active")
         chosen = materialise(_first(active, pivots), "neardup-pivots")
         if chosen.isEmpty():
-            return links
-        able = F.least("solid", "pivot_solid") * (100 + percent) >= (F.col("n") + F.col("pivot_n")) * percent
-        # a pair is told of in the first bucket that it shares, and in no other
-        here = F.array_min(F.array_intersect("bands", "pivot_bands")) == F.col("bucket")
-        pairs = active.join(chosen, key).filter((F.col("component") != F.col("pivot_component")) & able & here)
+            return labels
+        pairs = active.join(chosen, key).filter((F.col("component") != F.col("pivot_component")) & able & near & here)
         pairs = pairs.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b")).distinct()
         found = materialise(_linked(pairs, sets, percent), "neardup-links")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        rest = active.join(chosen.select(*key, F.col("pivot").alias("doc")), [*key, "doc"], "left_anti").drop("component")
-        active = rest.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        active = active.join(chosen.select(*key, F.col("pivot").alias("doc")), [*key, "doc"], "left_anti")
+        if not found.isEmpty():
+            # what is known is a star a component, not all of its links
+            links = found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            labels = components(links)
+            active = active.drop("component").join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         pivots *= config.more_pivots
 
 
-def near_duplicates(documents: DataFrame, config: NearDupConfig = NearDupConfig()) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept."""
-    signed = materialise(signatures(documents, config), "neardup-signatures")
-    digest = ["n_shingles", "digest1", "digest2"]
+def _twins(filled: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links a, b between the classes of rows that share a doc_id; None without any."""
+    several = materialise(filled.groupBy("doc_id").agg(F.min("digest1").alias("low"), F.max("digest1").alias("high")).filter("low <> high").select("doc_id"), "neardup-twins")
+    if several.isEmpty():
+        return None
+    rows = filled.join(several, "doc_id", "left_semi").select("doc_id", *DIGEST).distinct().join(classes.select(*DIGEST, "node"), [*DIGEST]).select("doc_id", "node")
+    return rows.join(rows.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b")).filter("a <> b")
+
+
+def near_duplicates(documents: DataFrame, config: NearDupConfig = NearDupConfig(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, and the columns keep of documents, which may not be named like these."""
+    signed = materialise(signatures(spread(documents), config, keep), "neardup-signatures")
     filled = signed.filter("n_shingles > 0 and doc_id is not null")
-    classes = materialise(filled.groupBy(*digest).agg(F.min("doc_id").alias("class_id")), "neardup-classes")
-    heads = filled.join(classes.withColumnRenamed("class_id", "doc_id"), [*digest, "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    buckets = heads.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"))
-    links = _settle(documents, buckets, config)
-    rows = signed.drop("bands").join(classes, digest, "left")
-    if links is None:
-        component: Column = F.coalesce("class_id", "doc_id")
+    classes = filled.groupBy(*DIGEST).agg(F.min("doc_id").alias("class_id"), F.first("bands").alias("bands"))
+    # numbers are given while the table is written, and stay
+    classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "neardup-classes")
+    labels, twins = _settle(documents, classes, config), _twins(filled, classes)
+    if twins is not None:
+        labels = components(twins if labels is None else twins.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    named = classes.select(*DIGEST, "class_id", "node")
+    if labels is None:
+        named = named.select(*DIGEST, F.col("class_id").alias("least_id"))
     else:
-        rows = rows.join(components(links).withColumnRenamed("node", "class_id"), "class_id", "left")
-        component = F.coalesce("component", "class_id", "doc_id")
-    rows = rows.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), component))
-    return rows.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+        tied = materialise(named.join(labels, "node"), "neardup-components")
+        least = tied.groupBy("component").agg(F.min("class_id").alias("least_id"))
+        few = tied.join(least, "component").select("node", "least_id")
+        named = named.join(few, "node", "left").select(*DIGEST, F.coalesce("least_id", "class_id").alias("least_id"))
+    rows = signed.drop("bands").join(named, [*DIGEST], "left")
+    rows = rows.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("least_id", "doc_id")))
+    return rows.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *keep)
