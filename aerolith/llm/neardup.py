@@ -14,7 +14,7 @@ edited copies that have drifted too far from all others leave by this bound and
 
 What is left is settled in rounds: some pivots of a bucket, those met in most buckets first, are compared with its other
 members that no chain of links ties to them yet; components are then joined, pivots leave, and buckets of one component
-are done. Each round takes sixteen times as many pivots, so every pair that shares a bucket is compared, tied by links, or
+are done. Each round takes 64 times as many pivots, so every pair that shares a bucket is compared, tied by links, or
 ruled out by a bound. The size of a symmetric difference is a metric, and an odd sketch of each set (the parities of how
 many of its shingles fall into each of 1,024 cells) bounds it from below: two sketches differ in no more cells than the
 sets differ in shingles. A pair whose sketches differ in more cells than a linked pair's sets may is dropped inside the
@@ -55,7 +55,7 @@ class NearDupConfig:
     similarity_percent: int = 85
     bands: int = 24
     rows: int = 5
-    more_pivots: int = 16
+    more_pivots: int = 64
 
 
 class Words(dict):
