@@ -5,8 +5,9 @@ lacks it. An unknown word is scored by its character n-grams, padded with spaces
 model knows any; a word without a known n-gram says nothing. A text's score in a language is the mean over its words.
 Words are runs of letters, lower-cased.
 
-The model is fitted on a bounded sample of labelled rows and keeps a bounded number of words and n-grams of each
-language, so its size is bounded by the number of languages alone.
+The model is fitted on a sample of labelled rows that is bounded for each language (LanguageConfig.sample_docs) and keeps
+every word and n-gram of it. Words are counted first, and n-grams are cut once a distinct word. The model is held as
+arrays: hashes of its entries in order, and a row of scores each; entries are told apart by 64 bits of hash.
 
 Cases: a null text, or one without a letter, is `und` with score 0, as is every text if nothing was learned; a text of
 which the model knows nothing gets the most frequent language and its share; ties go to the first language by name;
@@ -15,7 +16,6 @@ texts are read whole; equal rows get equal results; an empty table gives an empt
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -23,20 +23,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import materialise, small
+
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Resolution of the draw of the sample.
+DRAWS = 1 << 40
 
 
 @dataclass(frozen=True)
 class LanguageConfig:
-    sample_docs: int = 12_000
+    sample_docs: int = 3_000  # labelled rows of a language that the model is fitted on, about so many at most
     longest: int = 5
-    words: int = 40_000
-    grams: int = 8_000
     penalty: float = -7.0
     steady: int = 10
 
@@ -50,27 +53,51 @@ def grams_of(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
+def entry(kind: int, gram: str) -> int:
+    """The hash of a word (kind 0) or n-gram (kind n)."""
+    return xxhash.xxh3_64_intdigest(gram.encode(errors="replace"), seed=kind)
+
+
 class Model:
     """languages by name, shares of the documents, and of each kind (0: words, n: n-grams) log10 frequencies."""
 
     def __init__(self, languages: list[str], shares: list[float], tables: dict[int, dict[str, tuple[float, ...]]], config: LanguageConfig):
-        self.languages, self.shares, self.tables, self.config = languages, np.array(shares), tables, config
+        flat = [(entry(kind, gram), row) for kind, table in tables.items() for gram, row in table.items()]
+        keys = np.array([k for k, _ in flat], np.uint64)
+        self._hold(languages, shares, keys, np.array([row for _, row in flat], np.float64).reshape(len(flat), len(languages)), config)
+
+    @classmethod
+    def of(cls, languages: list[str], shares: list[float], keys: np.ndarray, rows: np.ndarray, config: LanguageConfig) -> Model:
+        model = cls.__new__(cls)
+        model._hold(languages, shares, keys, rows, config)
+        return model
+
+    def _hold(self, languages, shares, keys, rows, config) -> None:
+        order = np.argsort(keys, kind="stable")
+        self.languages, self.shares, self.config = languages, np.array(shares), config
+        self.keys, self.rows = keys[order], rows[order]
+
+    def _known(self, kind: int, grams: list[str]) -> np.ndarray:
+        """Places of those that the model has."""
+        if not len(self.keys):
+            return np.zeros(0, np.int64)
+        wanted = np.fromiter((entry(kind, g) for g in grams), np.uint64, len(grams))
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return at[self.keys[at] == wanted]
 
     def word(self, word: str) -> tuple[float, ...] | None:
-        if (known := self.tables.get(0, {}).get(word)) is not None:
-            return known
-        for n in range(self.config.longest, 0, -1):
-            table = self.tables.get(n, {})
-            known = [table[g] for g in grams_of(word, n) if g in table]
-            if known:
-                return tuple(sum(x) / len(known) for x in zip(*known, strict=True))
+        for kind in (0, *range(self.config.longest, 0, -1)):
+            known = self._known(kind, grams_of(word, kind) if kind else [word])
+            if len(known):
+                return tuple((self.rows[known].sum(0) / len(known)).tolist())
         return None
 
 
 class Scorer(dict):
     """Index of each word's scores; index 0 is for words that say nothing."""
 
-    MOST = 200_000
+    MOST = 60_000
+    LONG = 64  # letters from which on a word is not remembered
 
     def __init__(self, model: Model):
         self.model = model
@@ -82,22 +109,22 @@ class Scorer(dict):
         self.used = 1
 
     def __missing__(self, word: str) -> int:
-        scores = self.model.word(word)
-        if scores is None:
-            self[word] = 0
-            return 0
-        if self.used == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[self.used] = scores
-        self[word] = self.used
-        self.used += 1
-        return self[word]
+        scores, at = self.model.word(word), 0
+        if scores is not None:
+            if self.used == len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            at = self.used
+            self.rows[at] = scores
+            self.used += 1
+        if len(word) <= self.LONG:
+            self[word] = at
+        return at
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words, m = words_of(text), self.model
         if not m.languages or not any(any(map(str.isalpha, w)) for w in words):  # numerals such as ² stand among letters
             return UNKNOWN, 0.0
-        if len(self) > self.MOST:
+        if max(len(self), self.used) > self.MOST:
             self.reset()
         ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         ids = ids[ids > 0]
@@ -109,50 +136,81 @@ class Scorer(dict):
         return m.languages[best], float(1 / np.power(10.0, (mean - mean[best]) * min(len(ids), m.config.steady)).sum())
 
 
-def fit(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> Model:
-    """labelled: text and lang, both non-null, of which about config.sample_docs rows are used."""
-    every = max(1, labelled.count() // config.sample_docs)
-    sample = labelled.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
+def sample(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> tuple[DataFrame, dict[str, int]]:
+    """Rows to fit on, drawn for each language by a hash of all columns given; and the rows that each language has."""
+    counts = materialise(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "language-counts")
+    docs = {r.lang: r.rows for r in counts.collect()}  # a row a language: the model has a column for each
+    if not docs:
+        return labelled.select("lang", "text"), docs
+    bound = counts.select("lang", (F.lit(DRAWS) * F.least(F.lit(1.0), config.sample_docs / F.col("rows"))).cast("long").alias("_below"))
+    drawn = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in labelled.columns]), F.lit(DRAWS))
+    return labelled.withColumn("_drawn", drawn).join(small(bound, len(docs)), "lang").filter("_drawn < _below").select("lang", "text"), docs
+
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
+COUNTS = "lang string, kind int, gram string, n long"
+
+
+def _counted(pairs_of):
+    """Counts of what pairs_of yields for a batch, (lang, kind, gram, n), summed as far as fits."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
 
-        def rows(some: dict[str, Counter]) -> pa.RecordBatch:
-            flat = [(lang, n, g, c) for lang, counter in some.items() for (n, g), c in counter.items()]
-            columns = list(zip(*flat, strict=True)) if flat else [[], [], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())], names=["lang", "kind", "gram", "n"])
+        def rows() -> pa.RecordBatch:
+            keys, n = list(counts), pa.array(counts.values(), pa.int64())
+            columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string()))]
+            counts.clear()
+            return pa.RecordBatch.from_arrays([*columns, n], names=["lang", "kind", "gram", "n"])
 
         for batch in batches:
-            for text, lang in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                into = counts.setdefault(lang, Counter())
-                into[(-1, "")] += 1
-                for word, c in Counter(words_of(text)).items():
-                    into[(0, word)] += c
-                    for n in range(1, config.longest + 1):
-                        for g in grams_of(word, n):
-                            into[(n, g)] += c
-                if sum(map(len, counts.values())) > 300_000:
-                    yield rows(counts)
-                    counts.clear()
-        yield rows(counts)
-
-    counted = sample.select("text", "lang").mapInArrow(count, "lang string, kind int, gram string, n long").groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
-    group = Window.partitionBy("lang", "kind")
-    most = F.when(F.col("kind") == 0, config.words).otherwise(config.grams)
-    kept = counted.withColumn("total", F.sum("n").over(group)).withColumn("at", F.row_number().over(group.orderBy(F.desc("n"), "gram"))).filter(F.col("at") <= most)
-    found = kept.select("lang", "kind", "gram", "n", "total").toPandas()
-
-    docs = {r.lang: int(r.n) for r in found[found.kind < 0].itertuples()}
-    languages = sorted(docs)
-    place, total = {x: i for i, x in enumerate(languages)}, sum(docs.values())
-    tables: dict[int, dict] = {}
-    for lang, kind, gram, n, of in found[found.kind >= 0].itertuples(index=False):
-        tables.setdefault(int(kind), {}).setdefault(gram, [config.penalty] * len(languages))[place[lang]] = max(config.penalty, math.log10(n / of))
-    return Model(languages, [docs[x] / total for x in languages], {k: {g: tuple(v) for g, v in t.items()} for k, t in tables.items()}, config)
+            for lang, kind, gram, n in pairs_of(batch):
+                counts[lang, kind, gram] += n
+                if len(counts) >= 100_000:
+                    yield rows()
+        yield rows()
+
+    return run
+
+
+def _words(batch: pa.RecordBatch):
+    for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for word, n in Counter(words_of(text)).items():
+            yield lang, 0, word, n
+
+
+def _grams(longest: int):
+    def cut(batch: pa.RecordBatch):
+        for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for kind in range(1, longest + 1):
+                for gram in grams_of(word, kind):
+                    yield lang, kind, gram, n
+
+    return cut
+
+
+def fit(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> Model:
+    """labelled: text and lang, both non-null, and columns that tell rows apart, if there are any."""
+    rows, docs = sample(labelled, config)
+    total = lambda df: df.groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
+    words = materialise(total(rows.mapInArrow(_counted(_words), COUNTS)), "language-words")
+    grams = total(words.select("lang", "gram", "n").mapInArrow(_counted(_grams(config.longest)), COUNTS))
+    found = words.unionByName(grams).toArrow()  # bounded by the sample's rows
+    languages, everything = sorted(docs), sum(docs.values())
+    lang = found.column("lang").combine_chunks().dictionary_encode()
+    place = np.array([languages.index(x) for x in lang.dictionary.to_pylist()], np.int64)
+    at = place[lang.indices.to_numpy()] if len(lang) else np.zeros(0, np.int64)
+    kind, n = found.column("kind").to_numpy(), found.column("n").to_numpy().astype(np.float64)
+    keys = np.fromiter((entry(k, g) for k, g in zip(kind.tolist(), found.column("gram").to_pylist(), strict=True)), np.uint64, len(kind))
+    of = at * (config.longest + 1) + kind
+    sums = np.bincount(of, n, max(1, len(languages)) * (config.longest + 1))
+    known, row = np.unique(keys, return_inverse=True)
+    scores = np.full((len(known), len(languages)), config.penalty)
+    scores[row, at] = np.maximum(config.penalty, np.log10(n / sums[of]))
+    return Model.of(languages, [docs[x] / everything for x in languages], known, scores, config)
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
-    """documents with lang_pred and lang_score; the model travels as a broadcast, its size being bounded."""
+    """documents with lang_pred and lang_score; the model travels as a broadcast, its size being bounded by the sample."""
     documents = documents.drop("lang_pred", "lang_score")
     shared = documents.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*documents.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixity, language, mixing, neardup, packing, quality, repeats, scoring, secrets, topk
-from .common import table
+from .common import spread, table
 
 LANGUAGE_FOLDS = 5
 SCORING_FOLDS = 10
@@ -18,17 +18,17 @@ def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language.held_out(F.col("doc_id"), LANGUAGE_FOLDS))
-    model = language.fit(documents.filter("not held_out and text is not null and lang is not null"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).withColumn("held_out", language.held_out(F.col("doc_id"), LANGUAGE_FOLDS))
+    model = language.fit(documents.filter("not held_out and text is not null and lang is not null").select("doc_id", "text", "lang"))
     return language.predict(documents.drop("lang"), model).select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return secrets.find_secrets(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))
 
 
 def op5_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,11 +36,16 @@ def op5_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def packing_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruction data, where limits on examples and loss-bearing tokens bind."""
+    return packing.pack_conversations(spread(table(spark, sf_dir, "conversations")), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(table(spark, sf_dir, "documents")).drop("failed_rule")
+    return quality.judge(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("failed_rule")
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +57,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.score(table(spark, sf_dir, "documents"), language.held_out(F.col("doc_id"), SCORING_FOLDS))
+    return scoring.score(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), language.held_out(F.col("doc_id"), SCORING_FOLDS))
 
 
 QUERIES = {
@@ -66,6 +71,7 @@ QUERIES = {
     "op8_repeats": op8_repeats,
     "op9_topk": op9_topk,
     "op10_scoring": op10_scoring,
+    "packing_conversations": packing_conversations,
 }
 
 #: DuckDB's SQL for those that SQL can express over whole tables.
@@ -81,7 +87,8 @@ ORACLES: dict[str, str] = {
         ), d AS (
             SELECT page_id, CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % greatest(1, CAST(ceil((SELECT count(*) FROM pages) / 1024.0) AS BIGINT)) AS archive,
                    CAST(strlen(record) AS BIGINT) AS length, sha256(record) AS digest,
-                   CAST('0x' || substr(md5(id), 9, 8) AS BIGINT) % 97 <> 0 AS intact
+                   CAST('0x' || substr(md5(id), 9, 8) AS BIGINT) % 97 <> 0
+                   OR CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % greatest(1, CAST(ceil((SELECT count(*) FROM pages) / 1024.0) AS BIGINT)) % 4 <> 0 AS intact
             FROM r
         )
         SELECT page_id, archive,
