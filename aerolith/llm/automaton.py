@@ -294,24 +294,39 @@ def scan(dfa: Dfa, data: np.ndarray, offsets: np.ndarray, stride: int = 512, few
 
 
 def longest_matches(dfa: Dfa, data: bytes) -> list[tuple[int, int, int]]:
-    """Leftmost-longest matches of an anchored automaton, not overlapping: start, end, and the first end that accepts."""
-    classes = dfa.classes.tolist()
-    move, n, out, i = _flat(dfa), dfa.n_classes, [], 0
-    while i < len(data):
-        s, first, last, j = dfa.start, -1, -1, i
-        while j < len(data):
-            s = move[s * n + classes[data[j]]]
+    """Leftmost-longest matches of an anchored automaton, not overlapping: start, end, and the first end that accepts.
+
+    A walk leaves behind the pairs of position and state from which it came to no acceptance; a later walk that meets
+    one stops there. So each pair is walked once, and time is in proportion to the length of data.
+    """
+    move, n, out, i, size = _flat(dfa), dfa.n_classes, [], 0, len(data)
+    kinds = dfa.classes[np.frombuffer(data, np.uint8)]
+    begins = dfa.next[dfa.start * n : (dfa.start + 1) * n] != dfa.dead
+    starts, classes = np.flatnonzero(begins[kinds]).tolist(), kinds.tolist()
+    vain: set[int] = set()
+    for i_ in starts:
+        if i_ < i:
+            continue
+        s, first, last, j, trail = dfa.start, -1, -1, i_, []
+        while j < size:
+            s = move[s * n + classes[j]]
             if s == dfa.dead:
                 break
             j += 1
             if s >= dfa.accepting:
                 last = j
                 first = j if first < 0 else first
-        if last > i:
-            out.append((i, last, first))
+                if trail:
+                    trail = []
+            else:
+                at = s * (size + 1) + j
+                if at in vain:
+                    break
+                trail.append(at)
+        vain.update(trail)
+        if last > i_:
+            out.append((i_, last, first))
             i = last
-        else:
-            i += 1
     return out
 
 

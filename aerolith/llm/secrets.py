@@ -1,8 +1,10 @@
-"""Secret scanning: all rules as one deterministic automaton, one pass over the bytes of each text.
+"""Secret scanning: rules as deterministic automata, one pass over the bytes of each text for all of them.
 
-Rules are compiled together (see automaton) into transition arrays on the driver. The pass marks where a rule may have a
-match; only there, between bytes that no match can hold, the rule's own anchored automaton settles the exact spans:
-leftmost, longest, not overlapping within a kind. A match that is too short is dropped, and what it covered stays used.
+Rules are compiled (see automaton) into transition arrays on the driver. The combined automaton, by subset construction
+and minimisation, holds each rule's trigger: something short that every kept match of the rule holds. One pass over all
+bytes marks where triggers are met; only there, between bytes that no match can hold, the rule's own anchored automaton
+settles the exact spans: leftmost, longest, not overlapping within a kind, in time linear in the bytes. A match that is
+too short is dropped, and what it covered stays used. All rules in full would make one automaton of some 35,000 states.
 
 Cases: a null or empty text has no spans; offsets are code points, ends exclusive; texts of any length are scanned
 whole; equal rows each get their result; an empty table gives an empty result.
