@@ -1,6 +1,6 @@
 """Packing token sequences by vector bin packing.
 
-An item has three demands: tokens, segments (one each) and loss-bearing tokens. A bin has a limit on each. The next item
+An item has three demands: tokens, segments (one each) and loss-bearing tokens. A bin has a limit on each, or none. The next item
 of the open bin is the one, among those that fit, whose demands have the largest dot product with what the bin has left,
 both in shares of the limits and weighted by the mean demand of the items. Where cutting is allowed, a bin that nothing
 fits any more is filled by cutting the largest item.
@@ -10,7 +10,8 @@ group, so no rows are shuffled and padding is one bin a partition at most. With
 sequences whose lengths are powers of two.
 
 Cases: a null or empty text is a single end token; equal rows are packed each for itself; a text of any length is cut
-into full bins and a rest; an empty table gives an empty result; other columns are ignored.
+into full bins and a rest; an empty table gives an empty result; other columns are ignored. Documents count each token as
+loss-bearing; in conversations only the tokens of answers are, and an example longer than a sequence is cut.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 END_ID = 1
@@ -39,7 +41,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 @dataclass(frozen=True)
 class Limits:
     tokens: int = 2048
-    segments: int = 512
+    segments: int | None = None  # pieces a sequence, without a bound where None
     loss: int = 2048
 
 
@@ -73,7 +75,7 @@ class Packer:
 
     def _pack(self, last: bool) -> list[Bin]:
         items, limits = self.items, self.limits
-        caps = np.array([limits.tokens, limits.segments, limits.loss], np.float64)
+        caps = np.array([limits.tokens, limits.segments or limits.tokens, limits.loss], np.float64)
         demand = np.array([[t, 1, lo] for _, _, t, lo in items], np.float64).reshape(-1, 3)
         weight = (demand / caps).mean(0) if len(items) else np.ones(3)
         alive = np.ones(len(items), bool)
@@ -87,7 +89,7 @@ class Packer:
                     at, take = int(score.argmax()), None
                 elif self.cut and alive.any() and room[2] >= 1:
                     at = int(np.where(alive, demand[:, 0], -1.0).argmax())
-                    take = int(min(room[0], room[2]))
+                    take = int(min(room[0], room[2] + demand[at, 0] - demand[at, 2]))
                 else:
                     break
                 key, start, tokens, loss = items[at]
@@ -95,7 +97,7 @@ class Packer:
                     take, alive[at] = tokens, False
                     lost = loss
                 else:
-                    lost = min(loss, take)
+                    lost = max(0, take - (tokens - loss))  # an item's silent tokens come first
                     items[at] = [key, start + take, tokens - take, loss - lost]
                     demand[at] = [tokens - take, 1, loss - lost]
                 bin_.pieces.append((key, start, take))
@@ -130,10 +132,12 @@ class Encoder:
     those of many texts at once. A text with a space beside other white space, or at its ends, is given to it whole.
 
     Parts of printable characters up to Latin Extended go through a second implementation of the same merges, built
-    from the same file, which is quicker on short strings; it is used only if the file's merges are in order of id.
+    from the same file, which is quicker on short strings; it is used only if the file's merges are in order of id, and if
+    both give equal ids for PROBES tokens of the vocabulary, spread over it, alone and in pairs.
     """
 
-    MOST = 800_000
+    MOST = 300_000
+    PROBES = 2_000
     BYTES = {**{b: chr(b) for r in ((33, 126), (161, 172), (174, 255)) for b in range(r[0], r[1] + 1)}}
     BYTES |= {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(BYTES)))}
 
@@ -156,7 +160,13 @@ class Encoder:
         back = {c: b for b, c in self.BYTES.items()}
         special = {x["content"] for x in said["added_tokens"]}
         ranks = {bytes(back[c] for c in token): k for token, k in vocab.items() if token not in special}
-        return tiktoken.Encoding("same", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), special
+        second = tiktoken.Encoding("same", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        tokens = sorted(ranks, key=ranks.get)[:: max(1, len(ranks) // self.PROBES)]
+        probes = [x.decode(errors="ignore") for x in tokens]
+        probes += [x + y for x, y in zip(probes, reversed(probes), strict=True)]
+        if self._ids(probes) != [array("I", second.encode_ordinary(x)).tobytes() for x in probes]:
+            return None
+        return second, special
 
     def _new(self, parts: list[str]) -> list[bytes]:
         """Ids of parts of texts."""
@@ -217,11 +227,13 @@ PIECES = T.StructType(
     [T.StructField("doc_id", T.LongType())]
     + [T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
 )
-_ARROW = pa.schema([(f.name, pa.int64()) for f in PIECES.fields])
 
 
-def pack_documents(documents: DataFrame, tokenizer: str, limits: Limits = Limits(), end_id: int = END_ID) -> DataFrame:
-    """One row a piece: doc_id, start and length in the document's ids, ids_crc32, doc_tokens, and its place."""
+def _pack(rows: DataFrame, tokenizer: str, limits: Limits, end_id: int, schema: T.StructType, names: int) -> DataFrame:
+    """Pieces of rows of `names` naming columns, then the text that is read, and the text that loss counts on (null: on all
+    of the text that is read, and there is no other). schema: of the result."""
+    arrow = pa.schema([(f.name, pa.int64()) for f in schema.fields])
+    loss_column = "loss" in schema.names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, packer = encoder(tokenizer).encode, Packer(limits)
@@ -232,34 +244,63 @@ def pack_documents(documents: DataFrame, tokenizer: str, limits: Limits = Limits
             nonlocal sequences
             for b in bins:
                 offset = 0
-                for (doc, ids, base, total), start, length in b.pieces:
-                    out.append((doc, base + start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), total, partition + sequences, offset))
+                for (name, ids, base, total, silent), start, length in b.pieces:
+                    said = (max(0, base + start + length - max(silent, base + start)),) if loss_column else ()
+                    out.append((*name, base + start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), total, partition + sequences, offset, *said))
                     offset += length
                 sequences += 1
 
         def flush() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) if out else [[]] * len(_ARROW)
+            columns = list(zip(*out, strict=True)) if out else [[]] * len(arrow)
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_ARROW)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=arrow)
 
-        def encoded(batch: pa.RecordBatch) -> Iterator[tuple[int | None, bytes]]:
+        def encoded(batch: pa.RecordBatch) -> Iterator[tuple[tuple, bytes, int]]:
+            """Name, ids, and how many of them come before those with loss."""
             for at in range(0, batch.num_rows, TOGETHER):
                 some = batch.slice(at, TOGETHER)
-                for doc, ids in zip(some.column(0).to_pylist(), encode([x or "" for x in some.column(1).to_pylist()]), strict=True):
-                    yield doc, ids + end
+                columns = [c.to_pylist() for c in some.columns]
+                texts = [encode([x or "" for x in c]) for c in columns[names:]]
+                for k, name in enumerate(zip(*columns[:names], strict=True)):
+                    read, answer = texts[0][k], texts[1][k] if len(texts) > 1 else b""
+                    yield name, read + answer + end, len(read) // 4 if len(texts) > 1 else 0
 
         full = min(limits.tokens, limits.loss)
         for batch in batches:
-            for doc, ids in encoded(batch):
+            for name, ids, silent in encoded(batch):
                 total = len(ids) // 4
-                whole = total - total % full
+                whole = total - total % full if total > limits.tokens or not silent else 0
                 for s in range(0, whole, full):
-                    place([Bin(pieces=[((doc, ids, 0, total), s, full)])])
+                    place([Bin(pieces=[((name, ids, 0, total, silent), s, full)])])
                 if whole < total:
-                    place(packer.add((doc, ids[4 * whole :], whole, total), total - whole))
+                    place(packer.add((name, ids[4 * whole :], whole, total, silent), total - whole, total - max(whole, silent)))
                 if len(out) >= 20_000:
                     yield flush()
         place(packer.finish())
         yield flush()
 
-    return documents.select("doc_id", "text").mapInArrow(run, PIECES)
+    return rows.mapInArrow(run, schema)
+
+
+def pack_documents(documents: DataFrame, tokenizer: str, limits: Limits = Limits(), end_id: int = END_ID) -> DataFrame:
+    """One row a piece: doc_id, start and length in the document's ids, ids_crc32, doc_tokens, and its place."""
+    return _pack(documents.select("doc_id", "text"), tokenizer, limits, end_id, PIECES, 1)
+
+
+#: Of packed instruction data: loss-bearing tokens a sequence may hold, and examples.
+INSTRUCTION = Limits(tokens=2048, segments=64, loss=1024)
+EXAMPLES = T.StructType([T.StructField(c, T.LongType()) for c in ("conv_id", "turn", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss")])
+
+
+def examples(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, prompt, answer: each turn of the assistant with the turn in front of it, if there is one. Joined by
+    turn, so the turns of a long conversation do not meet in one task."""
+    answers = conversations.filter("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("answer"))
+    before = conversations.groupBy("conv_id", (F.col("turn") + 1).alias("turn")).agg(F.min("text").alias("prompt"))
+    return answers.join(before, ["conv_id", "turn"], "left").select("conv_id", "turn", "prompt", "answer")
+
+
+def pack_conversations(conversations: DataFrame, tokenizer: str, limits: Limits = INSTRUCTION, end_id: int = END_ID) -> DataFrame:
+    """One row a piece of an example: conv_id, turn, start and length in its ids, ids_crc32, doc_tokens, its place, and loss:
+    how many of its tokens count for loss, which are those of the answer and the end."""
+    return _pack(examples(conversations), tokenizer, limits, end_id, EXAMPLES, 2)
