@@ -21,6 +21,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,6 +48,7 @@ class RepeatConfig:
     minimizer_bucket_bytes: int = 16 << 20
     context_bucket_bytes: int = 2 << 20
     sorted_bytes: int = 3 << 20
+    most_partitions: int = 20_000  # of the homes; beyond it a partition has more homes, which are still read one by one
 
 
 def minimizers(data: np.ndarray, length: int, gram: int) -> np.ndarray:
@@ -94,7 +96,10 @@ def _home(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _buckets(keys: np.ndarray, n: int) -> np.ndarray:
-    return ((keys >> U(KEY_BITS - 32)) * U(n)) >> U(32)
+    """Minimizers are least hashes and so lie close to 0: they are mixed again before they are dealt out."""
+    h = (keys & ~U(1)) * U(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> U(32))) * U(0xD6E8FEB86659FD93)
+    return ((h >> U(32)) * U(n)) >> U(32)
 
 
 def _short(keys: np.ndarray) -> bytes:
@@ -123,10 +128,11 @@ def _send(config: RepeatConfig, n_buckets: int):
         several[np.cumsum(first)[other] - 1] = True
         key = key[first] | several.astype(U)
         bucket = _buckets(key, n_buckets)
-        ends = np.searchsorted(bucket, np.arange(n_buckets + 1, dtype=U))
-        filled = [b for b in range(n_buckets) if ends[b] < ends[b + 1]]
+        order = np.argsort(bucket, kind="stable")
+        key, (filled, begin) = key[order], np.unique(bucket[order], return_index=True)
         home = t.column("home")[0].as_py() if t.num_rows else 0
-        return pa.table({"bucket": pa.array(filled, pa.int64()), "home": pa.array([home] * len(filled), pa.int64()), "keys": pa.array([_short(key[ends[b] : ends[b + 1]]) for b in filled], pa.binary())})
+        parts = np.split(key, begin[1:]) if len(filled) else []
+        return pa.table({"bucket": pa.array(filled.astype(np.int64)), "home": pa.array([home] * len(filled), pa.int64()), "keys": pa.array(map(_short, parts), pa.binary())})
 
     return run
 
@@ -158,7 +164,7 @@ def _contexts(config: RepeatConfig, n_buckets: int):
         keep = known[document] & _among(key, wanted)
         document, at, count, key = ids[document[keep]].tolist(), at[keep].tolist(), count[keep].tolist(), key[keep]
         bucket, raw, more = _buckets(key, n_buckets).tolist(), data.tobytes(), config.length - 1
-        found: list[dict[bytes, list[int]]] = [{} for _ in range(n_buckets)]
+        found: defaultdict[int, dict[bytes, list[int]]] = defaultdict(dict)
         for d, a, c, b, k in zip(document, at, count, bucket, key.tolist(), strict=True):
             context = raw[a : a + c + more]
             x = found[b].get(context)
@@ -168,7 +174,7 @@ def _contexts(config: RepeatConfig, n_buckets: int):
                 x[0] = d
             elif d > x[1]:
                 x[1] = d
-        filled = [b for b in range(n_buckets) if found[b]]
+        filled = sorted(found)
         home = t.column("home")[0].as_py() if t.num_rows else 0
         blob = lambda f, kind: pa.array([f(found[b], kind) for b in filled], pa.binary())
         of = lambda i: lambda x, kind: np.array([y[i] for y in x.values()], kind).tobytes()
@@ -322,7 +328,7 @@ def remove_repeats(documents: DataFrame, config: RepeatConfig = RepeatConfig(),
     homes = max(1, -(-total // config.home_bytes))
     few = lambda size: max(1, -(-total // size))
     home = F.pmod(F.xxhash64("doc_id", "text"), F.lit(homes))
-    base = documents.select("doc_id", "text").withColumn("home", home).repartition(few(config.home_bytes * config.homes_a_partition), "home")
+    base = documents.select("doc_id", "text").withColumn("home", home).repartition(min(few(config.home_bytes * config.homes_a_partition), config.most_partitions), "home")
     sent = base.groupBy("home").applyInArrow(_send(config, few(config.minimizer_bucket_bytes)), "bucket long, home long, keys binary")
     shared = sent.groupBy("bucket").applyInArrow(_shared, "home long, keys binary")
     n_buckets = few(config.context_bucket_bytes)
