@@ -1,15 +1,16 @@
-"""A hierarchical Pitman-Yor model of spellings, by Gibbs sampling of Chinese-restaurant seatings.
-
-Symbols are classes of bytes, and a word ends with a symbol of its own. A restaurant stands for a context of the last
-three symbols; those that share the last two share a parent, and so on down to one restaurant without context, whose
-base is uniform. A customer of a restaurant is an occurrence; each table sends one customer to the parent.
-
-A sweep takes all customers of a dish out of a restaurant and seats them anew, given the parent's predictive
-probabilities: each joins a table of the dish in proportion to n - d t or opens one in proportion to (theta + d T) times
-the parent's probability. Customers beyond the first few are seated in runs that lengthen by a tenth, at the odds of the
-run's start. Predictive probabilities are averaged over the sweeps after burn-in.
-
-All arrays have SYMBOLS ** 4 cells at most, whatever the corpus.
+"""A hierarchical Pitman-Yor model: Gibbs sampling of Chinese-restaurant seatings, and a model of spellings.
+
+A customer of a restaurant is an occurrence of a dish; each table sends one customer to the parent restaurant. gibbs()
+seats restaurants whose parent's probabilities are given: a sweep takes one customer after the other out and seats it
+anew, at another of its dish's tables in proportion to that table's customers less d, or at a new one in proportion to
+(theta + d T) times the parent's probability. Dishes take their steps side by side, each with the other dishes' tables as
+they stood when the sweep began. A dish of more than CROWD customers is cleared and seated afresh in a sweep, its customers
+in runs that lengthen by a tenth at the odds of the run's start. Tables are averaged over the sweeps after burn-in.
+
+Spellings: symbols are classes of bytes, and a word ends with a symbol of its own. A restaurant stands for a context of the
+last three symbols; those that share the last two share a parent, and so on down to one restaurant without context, whose
+base is uniform. A sweep goes from the longest contexts to the shortest, and predictive probabilities are averaged over
+the sweeps after burn-in. All arrays of it have SYMBOLS ** 4 cells at most, whatever the corpus.
 """
 
 from __future__ import annotations
@@ -98,6 +99,79 @@ def seated(customers: np.ndarray, mass: np.ndarray, discount: float, rng: np.ran
     return tables
 
 
+#: Customers of a dish up to which they are seated one by one.
+CROWD = 200
+
+
+class Seats:
+    """Customers of dishes at their tables. Those of a dish lie in a row, as do the sizes of its tables."""
+
+    def __init__(self, customers: np.ndarray):
+        order = np.argsort(-customers, kind="stable")
+        self.order, self.n = order, customers[order]
+        self.begin = np.cumsum(self.n) - self.n
+        self.seat, self.size = np.zeros(int(self.n.sum()), np.int32), np.zeros(int(self.n.sum()), np.int32)
+        self.tables, self.full = np.zeros(len(self.n), np.int64), False
+
+    def sweep(self, others: np.ndarray, own: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+        """Seats each customer anew (the first time, seats them all); a new table's weight is others + own * tables."""
+        others, own, n, begin, seat, size, t = others[self.order], own[self.order], self.n, self.begin, self.seat, self.size, self.tables
+        for j in range(int(n[0]) if len(n) else 0):
+            live = int(np.searchsorted(-n, -j, "left"))
+            me = begin[:live] + j
+            if self.full:
+                at = begin[:live] + seat[me]
+                size[at] -= 1
+                t[:live] -= size[at] == 0
+                company = n[:live] - 1
+            else:
+                company = np.full(live, j)
+            fresh = others[:live] + own[:live] * t[:live]
+            old = np.maximum(company - discount * t[:live], 0.0)
+            new = rng.random(live) * (fresh + old) < fresh
+            new |= t[:live] == 0
+            todo = np.flatnonzero(~new)
+            while len(todo):
+                # the table of a customer at random, taken with probability (size - d) / size
+                of = (rng.random(len(todo)) * company[todo]).astype(np.int64)
+                of = (j + 1 + of) % n[todo] if self.full else of
+                table = seat[begin[todo] + of]
+                there = size[begin[todo] + table]
+                took = rng.random(len(todo)) * there < there - discount
+                k = todo[took]
+                seat[begin[k] + j] = table[took]
+                size[begin[k] + table[took]] += 1
+                todo = todo[~took]
+            k = np.flatnonzero(new)
+            free = np.full(len(k), j)
+            while (taken := size[begin[k] + free] > 0).any():
+                free[taken] = (free[taken] + 1) % n[k[taken]]
+            seat[begin[k] + j] = free
+            size[begin[k] + free] = 1
+            t[k] += 1
+        self.full = True
+        out = np.empty(len(n), np.int64)
+        out[self.order] = t
+        return out
+
+
+def gibbs(customers: np.ndarray, group: np.ndarray, scale: np.ndarray, p: np.ndarray, discount: float, strength: float, rng: np.random.Generator, config: HpyConfig) -> np.ndarray:
+    """Tables of each dish, summed over the sweeps that are kept. group: the restaurant of each dish. p: the parent's
+    probability of it. scale: of each restaurant, how many times the tables of the dishes given it has in all."""
+    tables, total = (customers > 0).astype(np.int64), np.zeros(len(customers), np.int64)
+    few, crowd = np.flatnonzero((customers > 1) & (customers <= CROWD)), np.flatnonzero(customers > CROWD)
+    seats = Seats(customers[few])
+    for sweep in range(config.sweeps):
+        all_ = (np.bincount(group, tables, len(scale)) * scale)[group]
+        if len(crowd):
+            tables[crowd] = seated(customers[crowd], (strength + discount * all_[crowd]) * p[crowd], discount, rng)
+        others = np.maximum(strength + discount * (all_[few] - tables[few]), 0.0) * p[few]
+        tables[few] = seats.sweep(others, discount * p[few], discount, rng)
+        if sweep >= config.burn_in:
+            total += tables
+    return total
+
+
 class Spelling:
     """log10 probabilities of symbols by quad, and of bytes by their class."""
 
@@ -156,18 +230,3 @@ def fit_spelling(keys: np.ndarray, counts: np.ndarray, byte_counts: np.ndarray,
     byte_log = np.log10((byte_counts + 1.0) / by_class[CLASSES])
     byte_log[SPLIT] = 0.0
     return Spelling(np.log10(mean.ravel()).astype(np.float32), byte_log)
-
-
-def word_tables(counts: np.ndarray, log_base: np.ndarray, types: int, config: HpyConfig, seed: int) -> np.ndarray:
-    """Mean tables of each word of the restaurant above the spellings. There are `types` words in training, of which
-    those given are a part; by their mean the number of all tables is judged while they are seated."""
-    rng = np.random.default_rng([config.seed, seed])
-    known = counts > 0
-    share, mean = 1.0, np.zeros(len(counts))
-    for sweep in range(config.sweeps):
-        mass = (config.word_strength + config.word_discount * types * share) * np.power(10.0, log_base)
-        t = seated(counts, mass, config.word_discount, rng)
-        share = t.sum() / max(1, known.sum())
-        if sweep >= config.burn_in:
-            mean += t
-    return mean / (config.sweeps - config.burn_in)

@@ -1,20 +1,23 @@
 """Scoring texts by a hierarchical Pitman-Yor language model (see pitman_yor) and by add-0.1 unigrams.
 
 Tokens are words with A-Z lower-cased, then one end, which is spelled as the empty word. A token's restaurant is that of
-the word in front of it (of the end, if there is none); the tables of all these are the customers of one restaurant
-without context, which has the model of spellings as its base; that in turn is trained on one customer a word. Both
-scores are over the same events, the words seen in training and one more for all others: the model gives that one what
-the spellings leave to words not seen.
-
-1. Texts become homes of a few MB: their documents' words by number, and each word's training count, once a home.
-2. Words meet in buckets. These give the totals, and the counts of symbols that the spellings are fitted to, which are
-   of bounded number. A first estimate of words' probabilities, from all tokens, goes to each home.
-3. Homes send their distinct word pairs to buckets by context, those of a hot context to several by the second word.
-   Buckets seat the pairs' customers by the first estimate, and send each home its pairs' shares.
-4. Tables meet by word: as customers of the restaurant without context, and as sums of a context. They are seated there.
+the word in front of it (of the end, if there is none). The tables of all these are the customers of one parent restaurant
+without context, and its base is a model of spellings, which is trained on one customer a word and gives every byte
+string a probability. So the score is a probability over all texts: words not seen in training are scored by their
+spelling. event_score is the same model over the base score's events, the words seen in training and one more for all
+others, which gets what the spellings leave to them; perplexities are compared on these.
+
+1. Texts become homes of a few MB: their distinct words, and their tokens as places among these.
+2. Words meet in buckets, which count them, number them, and send each home its words' numbers and counts. Counts of symbols,
+   which are of bounded number, go to the driver, where the spellings are fitted.
+3. Homes send their distinct word pairs to buckets by context, those of a hot context to several by the second word. A
+   bucket seats the pairs' customers by Gibbs sampling; the parent's probability is a word's relative frequency there.
+   Homes get their pairs' shares back.
+4. Tables meet by word: as customers of the parent restaurant, which is seated there, and as sums of a context.
 5. Homes put both together and add up their documents.
 
-A word weighs a row a home at most in its bucket, however frequent.
+A word weighs a row a home at most in its bucket, however frequent. Draws are seeded by bucket and made in an order of the
+words' numbers, so scores do not depend on how the rows are laid out.
 
 Cases: a null or empty text is a lone end; a row without doc_id is not held out; equal rows each count and are scored;
 texts of any length are read whole; an empty table gives an empty result; other columns are ignored.
@@ -26,29 +29,73 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_text import utf8_slices
 from .common import materialise
-from .pitman_yor import HpyConfig, fit_spelling, laid_out, quads, seated, word_tables
+from .pitman_yor import HpyConfig, fit_spelling, gibbs, laid_out, quads
 
 SMOOTHING = 0.1
 HOME_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
 
 
+def squeezed(a: np.ndarray) -> bytes:
+    """An array as compressed bytes, the bytes of equal place in its numbers side by side."""
+    a = np.ascontiguousarray(a)
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if len(a) else b"")
+
+
+def loosened(x: bytes, kind) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1) if len(raw) else np.zeros(0, kind)
+
+
+def narrow(a: np.ndarray) -> np.ndarray:
+    """Whole numbers that are not negative in as few bytes as they need: 4 or 8."""
+    return a.astype(np.uint32 if not len(a) or a.max() < 2**32 else np.uint64)
+
+
+def _column(t: pa.Table, c: str, kind) -> list[np.ndarray]:
+    return [loosened(x.as_buffer(), kind) for x in t.column(c)]
+
+
+def _joined(parts: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *parts])
+
+
 class Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self)
         return n
 
 
-def _homes(n_buckets: int):
-    names = ["home", "bucket", "words", "counts", "docs", "held", "tokens", "seq", "hashes"]
+HOMES = "home long, words binary, buckets binary, sizes binary, counts binary, docs array<long>, held array<boolean>, tokens binary, seq binary"
 
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+_TYPES = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_()), "double": pa.float64(), "boolean": pa.bool_()}
+
+
+def _arrow(schema: str) -> pa.Schema:
+    return pa.schema([(x.split()[0], _TYPES[x.split()[1]]) for x in schema.split(", ")])
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    fields = _arrow(schema)
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(fields)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
+
+
+def _homes(n_buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         home = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -66,246 +113,262 @@ def _homes(n_buckets: int):
                     tokens.append(len(words))
                 words = list(numbers)
                 count = np.bincount(np.concatenate(train), minlength=len(words))
-                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-                bucket = (hashes % np.uint64(n_buckets)).astype(np.int64)
+                bucket = (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(n_buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 place = np.empty(len(words), np.int32)
                 place[order] = np.arange(len(words))
-                ends = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-                filled = [b for b in range(n_buckets) if ends[b] < ends[b + 1]]
-                ordered = [words[k] for k in order.tolist()]
-                rows = [(home, b, b"\n".join(ordered[ends[b] : ends[b + 1]]), count[order[ends[b] : ends[b + 1]]].astype(np.int64).tobytes(), *[None] * 5) for b in filled]
+                buckets, sizes = np.unique(bucket, return_counts=True)
                 ids = pa.array(batch.column(0)).slice(row, end - row).to_pylist()
-                rows.append((home, -1, None, None, ids, held.tolist(), np.array(tokens, np.int64).tobytes(), place[np.concatenate(seq)].tobytes(), hashes[order].tobytes()))
-                types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 3]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                blob = zstandard.ZstdCompressor(level=1).compress(b"\n".join([words[k] for k in order.tolist()]))
+                one = (home, blob, squeezed(buckets), squeezed(sizes), squeezed(count[order]), ids, held.tolist(), squeezed(np.array(tokens, np.int64)), squeezed(place[np.concatenate(seq)]))
+                yield from _table([one], HOMES).to_batches()
                 home += 1
 
     return run
 
 
-def _merged(t: pa.Table) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
-    """A bucket's words, their training counts, and the words of each row by number."""
+SENT = "bucket long, home long, words binary, counts binary"
+
+
+def _send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A home's words to their buckets."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            x = {c: batch.column(i)[r].as_py() for i, c in enumerate(batch.schema.names)}
+            words, counts = zstandard.ZstdDecompressor().decompress(x["words"]).split(b"\n"), loosened(x["counts"], np.int64)
+            rows, at = [], 0
+            for bucket, size in zip(loosened(x["buckets"], np.int64).tolist(), loosened(x["sizes"], np.int64).tolist(), strict=True):
+                rows.append((bucket, x["home"], b"\n".join(words[at : at + size]), squeezed(counts[at : at + size])))
+                at += size
+            yield from _table(rows, SENT).to_batches()
+
+
+#: home -1: a bucket's words in order, their counts in training. Else: places in it of a home's words, and their counts.
+MERGED = "bucket long, home long, words binary, places binary, counts binary"
+
+
+def _merge(t: pa.Table) -> pa.Table:
     numbers, rows, counts = Numbers(), [], []
-    for words, n in zip(t.column("words"), t.column("counts"), strict=True):
-        words, n = words.as_py().split(b"\n"), np.frombuffer(n.as_buffer(), np.int64)
+    for words, n in zip(t.column("words"), _column(t, "counts", np.int64), strict=True):
+        words = words.as_py().split(b"\n")
         rows.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
         counts.append(n)
     total = np.zeros(len(numbers), np.int64)
     for k, n in zip(rows, counts, strict=True):
         total[k] += n  # a word is in a row once
-    return list(numbers), total, rows
+    words = list(numbers)
+    order = sorted(range(len(words)), key=lambda k: (-total[k], words[k]))
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words))
+    total, bucket = total[order], t.column("bucket")[0].as_py()
+    blob = zstandard.ZstdCompressor(level=1).compress(b"\n".join([words[k] for k in order]))
+    out = [(bucket, -1, blob, None, squeezed(total))]
+    out += [(bucket, h, None, squeezed(narrow(place[k])), squeezed(total[place[k]])) for h, k in zip(t.column("home").to_pylist(), rows, strict=True)]
+    return _table(out, MERGED)
 
 
 #: Keys of totals beside quads' numbers, which are not negative.
 N_TOKENS, N_TYPES, BYTES_FROM = -1, -2, -300
 
 
-def _totals(t: pa.Table) -> pa.Table:
-    words, counts, _ = _merged(t)
-    known = [w for w, c in zip(words, counts.tolist(), strict=True) if c]
-    data = laid_out(known)
-    keys, n = np.unique(quads(data), return_counts=True)
-    seen = np.bincount(data, minlength=256)
-    keys = np.concatenate([keys, [N_TOKENS, N_TYPES], BYTES_FROM + np.arange(256)])
-    return pa.table({"key": pa.array(keys, pa.int64()), "n": pa.array(np.concatenate([n, [counts.sum(), len(known)], seen]), pa.int64())})
-
-
-def _seated(spelling, types: int, config: HpyConfig, t: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """Of a bucket: training counts, words of each row, log10 probabilities of spellings, and mean tables."""
-    words, counts, rows = _merged(t)
-    base = spelling.value.log_probability(words)
-    return counts, rows, base, word_tables(counts, base, types, config, t.column("bucket")[0].as_py())
-
-
-def _seats(spelling, types: int, config: HpyConfig):
-    def run(t: pa.Table) -> pa.Table:
-        counts, _, base, tables = _seated(spelling, types, config, t)
-        return pa.table({"tables": pa.array([tables.sum()], pa.float64()), "spelled": pa.array([np.power(10.0, base[counts > 0]).sum()], pa.float64())})
-
-    return run
-
-
-def _scores(spelling, n: int, types: int, tables_all: float, unseen: float, config: HpyConfig):
-    d, theta = config.word_discount, config.word_strength
+def _totals(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for blob, n in zip(batch.column(0), batch.column(1), strict=True):
+            words, counts = zstandard.ZstdDecompressor().decompress(blob.as_buffer()).split(b"\n"), loosened(n.as_buffer(), np.int64)
+            known = words[: int((counts > 0).sum())]  # the most frequent come first
+            data = laid_out(known)
+            keys, n_of = np.unique(quads(data), return_counts=True)
+            seen = np.bincount(data, minlength=256)
+            keys = np.concatenate([keys, [N_TOKENS, N_TYPES], BYTES_FROM + np.arange(256)])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.concatenate([n_of, [counts.sum(), len(known)], seen]), pa.int64())], names=["key", "n"])
 
-    def run(t: pa.Table) -> pa.Table:
-        counts, rows, base, tables = _seated(spelling, types, config, t)
-        mass = np.where(counts > 0, np.power(10.0, base), unseen)
-        log = np.log10((np.maximum(counts - d * tables, 0) + (theta + d * tables_all) * mass) / (theta + n))
-        return pa.table({"home": t.column("home"), "bucket": t.column("bucket"), "counts": pa.array([counts[k].tobytes() for k in rows], pa.binary()), "logs": pa.array([log[k].tobytes() for k in rows], pa.binary())})
-
-    return run
 
-
-def _of(t: pa.Table, c: str, kind) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in t.column(c))])
+def _places(x, n) -> np.ndarray:
+    size = len(loosened(n.as_buffer(), np.int64))
+    raw = zstandard.ZstdDecompressor().decompress(x.as_buffer())
+    return loosened(x.as_buffer(), np.uint32 if len(raw) == 4 * size else np.uint64).astype(np.int64)
 
 
 class Pairs:
-    """A home's distinct pairs of (word in front, word) by place, by bucket and then by context; pair: of each token."""
-
-    def __init__(self, t: pa.Table, counts: np.ndarray, n_buckets: int, config: HpyConfig):
-        seq, self.tokens, self.hashes = _of(t, "seq", np.int32).astype(np.int64), _of(t, "tokens", np.int64), _of(t, "hashes", np.uint64)
+    """A home's distinct pairs of (word in front, word) by bucket, then by context; pair: of each token. ids: of the home's
+    words, that is place * n_buckets + bucket."""
+
+    def __init__(self, t: pa.Table, words: pa.Table, n_buckets: int, config: HpyConfig):
+        words = words.sort_by("bucket")
+        narrowed = [_places(x, n) for x, n in zip(words.column("places"), words.column("counts"), strict=True)]
+        of = np.repeat(np.array(words.column("bucket").to_pylist(), np.int64), [len(x) for x in narrowed])
+        self.ids = _joined(narrowed, np.int64) * n_buckets + of
+        self.counts = _joined(_column(words, "counts", np.int64), np.int64)
+        self.seq, self.tokens = _joined(_column(t, "seq", np.int32), np.int32).astype(np.int64), _joined(_column(t, "tokens", np.int64), np.int64)
         self.begin = np.cumsum(self.tokens) - self.tokens
-        front = np.roll(seq, 1)
-        front[self.begin] = seq[-1]  # the end
-        keys, pair = np.unique(front * len(counts) + seq, return_inverse=True)
-        self.front, self.word = keys // len(counts), keys % len(counts)
-        self.salts = np.clip(-(-counts // config.hot), 1, n_buckets)
-        h, n = self.hashes, np.uint64(n_buckets)
-        bucket = (h[self.front] % n + (h[self.word] >> np.uint64(32)) % self.salts[self.front].astype(np.uint64)) % n
-        order = np.argsort(bucket, kind="stable")
+        front = np.roll(self.seq, 1)
+        front[self.begin] = self.seq[-1]  # the end
+        keys, pair = np.unique(front * len(self.ids) + self.seq, return_inverse=True)
+        self.front, self.word = keys // len(self.ids), keys % len(self.ids)
+        salts = np.maximum(-(-self.counts // config.hot), 1)[self.front]
+        h = (self.ids[self.front] * 0x9E3779B1 >> 7) + (self.ids[self.word] * 0x85EBCA6B >> 9) % salts
+        bucket = h % n_buckets
+        order = np.lexsort((self.ids[self.word], self.ids[self.front], bucket))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        self.front, self.word, self.bucket, self.pair, self.seq = self.front[order], self.word[order], bucket[order].astype(np.int64), place[pair], seq
+        self.front, self.word, self.bucket, self.pair = self.front[order], self.word[order], bucket[order], place[pair]
 
 
-PAIRS = "home long, bucket long, fronts binary, runs binary, salts binary, words binary, counts binary, logs binary"
+PAIRS = "home long, bucket long, fronts binary, front_counts binary, runs binary, words binary, word_counts binary, at binary, counts binary"
 
 
 def _pairs(n_buckets: int, config: HpyConfig):
-    names = [x.split()[0] for x in PAIRS.split(", ")]
-
-    def run(t: pa.Table, results: pa.Table) -> pa.Table:
-        results = results.sort_by("bucket")
-        counts, logs = _of(results, "counts", np.int64), _of(results, "logs", np.float64)
-        p = Pairs(t, counts, n_buckets, config)
+    def run(t: pa.Table, words: pa.Table) -> pa.Table:
+        p = Pairs(t, words, n_buckets, config)
         train = np.repeat(~np.array(t.column("held")[0].as_py(), bool), p.tokens)
-        n = np.bincount(p.pair[train], minlength=len(p.word)).astype(np.int32)
+        n = np.bincount(p.pair[train], minlength=len(p.word)).astype(np.int64)
         rows, home = [], t.column("home")[0].as_py()
-        for a, b in zip(*(lambda e: (e[:-1], e[1:]))(np.append(np.flatnonzero(np.diff(p.bucket, prepend=-1)), len(p.bucket)).tolist()), strict=True):
+        cuts = np.append(np.flatnonzero(np.diff(p.bucket, prepend=-1)), len(p.bucket)).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             front, word = p.front[a:b], p.word[a:b]
-            at = np.flatnonzero(np.diff(front, prepend=-1))
-            runs = np.diff(np.append(at, b - a)).astype(np.int32)
-            rows.append((home, int(p.bucket[a]), *(x.tobytes() for x in (p.hashes[front[at]], runs, p.salts[front[at]].astype(np.int32), p.hashes[word], n[a:b], logs[word].astype(np.float32)))))
-        return pa.table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)), pa.schema([(x, pa.int64() if x in ("home", "bucket") else pa.binary()) for x in names]))
+            first = np.flatnonzero(np.diff(front, prepend=-1))
+            runs = np.diff(np.append(first, b - a))
+            used, at = np.unique(word, return_inverse=True)
+            each = (p.ids[front[first]], p.counts[front[first]], runs, p.ids[used], p.counts[used], at, n[a:b])
+            rows.append((home, int(p.bucket[a]), *(squeezed(x.astype(np.int64 if k in (0, 3) else np.int32 if k != 1 and k != 4 else np.int64)) for k, x in enumerate(each))))
+        return _table(rows, PAIRS)
 
     return run
 
 
-SEATED = "home long, bucket long, shares binary, keys binary, customers binary, tables binary"
-
+#: Of a home: its pairs' shares. Of a bucket of words (home -1): tables that its words have as customers and as contexts.
+SEATED = "home long, bucket long, shares binary, ids binary, customers binary, tables binary"
 
-def _pair_seats(n_buckets: int, config: HpyConfig):
-    d, theta = config.pair_discount, config.pair_strength
 
+def _pair_seats(n_buckets: int, tokens: int, config: HpyConfig):
     def run(t: pa.Table) -> pa.Table:
         bucket = t.column("bucket")[0].as_py()
-        runs, words = _of(t, "runs", np.int32), _of(t, "words", np.uint64)
-        fronts, salts = np.repeat(_of(t, "fronts", np.uint64), runs), np.repeat(_of(t, "salts", np.int32), runs)
-        with np.errstate(over="ignore"):
-            mixed_ = (fronts ^ (fronts >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + words
-        _, first, of = np.unique(mixed_, return_index=True, return_inverse=True)
-        n = np.bincount(of, _of(t, "counts", np.int32)).astype(np.int64)
-        p = np.power(10.0, _of(t, "logs", np.float32)[first].astype(np.float64))
-        names, front = np.unique(fronts[first], return_inverse=True)
-        all_ = np.ones(len(names))
-        all_[front] = salts[first]
+        runs, used = _column(t, "runs", np.int32), _column(t, "words", np.int64)
+        fronts = _joined([np.repeat(x, r) for x, r in zip(_column(t, "fronts", np.int64), runs, strict=True)], np.int64)
+        of_front = _joined([np.repeat(x, r) for x, r in zip(_column(t, "front_counts", np.int64), runs, strict=True)], np.int64)
+        at = _column(t, "at", np.int32)
+        words = _joined([x[k] for x, k in zip(used, at, strict=True)], np.int64)
+        of_word = _joined([x[k] for x, k in zip(_column(t, "word_counts", np.int64), at, strict=True)], np.int64)
+        names, front = np.unique(fronts, return_inverse=True)
+        seen, word = np.unique(words, return_inverse=True)
+        _, first, pair = np.unique(front * len(seen) + word, return_index=True, return_inverse=True)
+        n = np.bincount(pair, _joined(_column(t, "counts", np.int32), np.int32)).astype(np.int64)
+        p = of_word[first] / max(1, tokens)
+        # of a context dealt out, the words here stand for those elsewhere
+        scale = np.ones(len(names))
+        scale[front[first]] = np.maximum(-(-of_front[first] // config.hot), 1)
         rng = np.random.default_rng([config.seed, 1, bucket])
-        tables, mean = (n > 0).astype(np.float64), np.zeros(len(n))
-        for sweep in range(config.sweeps):
-            # of a context dealt out, the other words here stand for those elsewhere
-            total = tables + (np.bincount(front, tables, len(names))[front] - tables) * all_[front]
-            tables = seated(n, (theta + d * total) * p, d, rng).astype(np.float64)
-            if sweep >= config.burn_in:
-                mean += tables
-        mean /= config.sweeps - config.burn_in
-        share = np.maximum(n - d * mean, 0)[of]
-        ends = np.cumsum([len(x.as_buffer()) // 8 for x in t.column("words")])
-        rows = [(h, bucket, x.tobytes(), None, None, None) for h, x in zip(t.column("home").to_pylist(), np.split(share, ends[:-1]), strict=True)]
-        keys, where = np.unique(np.concatenate([names, words[first]]), return_inverse=True)
-        as_front = np.bincount(where[: len(names)], np.bincount(front, mean, len(names)), len(keys))
-        customers = np.bincount(where[len(names) :], mean, len(keys))
-        to = keys % np.uint64(n_buckets)
-        for b in np.unique(to).tolist():
-            k = to == b
-            rows.append((-1, b, None, keys[k].tobytes(), customers[k].tobytes(), as_front[k].tobytes()))
-        types = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
-        return pa.table([pa.array(c, ty) for c, ty in zip(zip(*rows, strict=True), types, strict=True)], names=[x.split()[0] for x in SEATED.split(", ")])
+        kept = config.sweeps - config.burn_in
+        tables = gibbs(n, front[first], scale, p, config.pair_discount, config.pair_strength, rng, config)
+        share = np.maximum(n - config.pair_discount * tables / kept, 0).astype(np.float32)[pair]
+        ends = np.cumsum([len(x) for x in at])
+        rows = [(h, bucket, squeezed(x), None, None, None) for h, x in zip(t.column("home").to_pylist(), np.split(share, ends[:-1]), strict=True)]
+        keys, where = np.unique(np.concatenate([names, seen]), return_inverse=True)
+        as_front = np.bincount(where[: len(names)], np.bincount(front[first], tables, len(names)), len(keys)).astype(np.int64)
+        customers = np.bincount(where[len(names) :], np.bincount(word[first], tables, len(seen)), len(keys)).astype(np.int64)
+        to = keys % n_buckets
+        order = np.argsort(to, kind="stable")
+        cuts = np.append(np.flatnonzero(np.diff(to[order], prepend=-1)), len(order)).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            k = order[a:b]
+            rows.append((-1, int(to[k[0]]), None, *(squeezed(x[k]) for x in (keys, customers, as_front))))
+        return _table(rows, SEATED)
 
     return run
 
 
-WORDS = "home long, bucket long, counts binary, shares binary, mass binary, fronts binary, customers double, tables double"
+WORDS = "home long, bucket long, shares binary, logs binary, fronts binary, customers long, tables double, spelled double"
 
 
-def _word_seats(spelling, types: int, unseen: float, config: HpyConfig):
+def _word_seats(spelling, types: int, n_buckets: int, config: HpyConfig):
     def run(t: pa.Table, met: pa.Table) -> pa.Table:
-        words, counts, rows = _merged(t)
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-        sums = []
-        keys, at = np.unique(_of(met, "keys", np.uint64), return_inverse=True)
-        for c in ("customers", "tables"):
-            total = np.append(np.bincount(at, _of(met, c, np.float64), len(keys)), 0.0)
-            found = np.minimum(np.searchsorted(keys, hashes), max(0, len(keys) - 1))
-            sums.append(total[np.where(keys[found] == hashes, found, len(keys))] if len(keys) else np.zeros(len(words)))
-        customers = np.where(counts > 0, np.maximum(1, np.rint(sums[0])), 0).astype(np.int64)
-        base, bucket = spelling.value.log_probability(words), t.column("bucket")[0].as_py()
-        tables = word_tables(customers, base, types, config, bucket)
+        t = t.sort_by("home")
+        bucket, kept = t.column("bucket")[0].as_py(), config.sweeps - config.burn_in
+        words = zstandard.ZstdDecompressor().decompress(t.column("words")[0].as_py()).split(b"\n")
+        counts = loosened(t.column("counts")[0].as_buffer(), np.int64)
+        sums = np.zeros((2, len(words)), np.int64)
+        place = _joined(_column(met, "ids", np.int64), np.int64) // n_buckets
+        for into, c in zip(sums, ("customers", "tables"), strict=True):
+            np.add.at(into, place, _joined(_column(met, c, np.int64), np.int64))
+        customers = np.where(counts > 0, np.maximum(1, np.rint(sums[0] / kept)), 0).astype(np.int64)
+        logs = spelling.value.log_probability(words)
+        known = int((counts > 0).sum())
+        rng = np.random.default_rng([config.seed, 2, bucket])
+        tables = gibbs(customers, np.zeros(len(words), np.int64), np.array([types / max(1, known)]), np.power(10.0, logs), config.word_discount, config.word_strength, rng, config) / kept
         share = np.maximum(customers - config.word_discount * tables, 0)
-        mass = np.where(counts > 0, np.power(10.0, base), unseen)
-        out = {"home": t.column("home"), "bucket": t.column("bucket")}
-        out |= {c: pa.array([x[k].tobytes() for k in rows], pa.binary()) for c, x in (("counts", counts), ("shares", share), ("mass", mass), ("fronts", sums[1]))}
-        one = np.arange(len(rows)) == 0
-        return pa.table(out | {"customers": pa.array(one * float(customers.sum())), "tables": pa.array(one * float(tables.sum()))})
+        spelled = float(np.power(10.0, logs[counts > 0]).sum())
+        out = [(-1, bucket, None, None, None, int(customers.sum()), float(tables.sum()), spelled)]
+        for h, x, n in zip(t.column("home").to_pylist()[1:], t.column("places")[1:], t.column("counts")[1:], strict=True):
+            k = _places(x, n)
+            out.append((h, bucket, squeezed(share[k]), squeezed(logs[k]), squeezed(sums[1][k]), None, None, None))
+        return _table(out, WORDS)
 
     return run
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, event_score double"
 
 
-def _added(n: int, types: int, customers: float, tables: float, n_buckets: int, config: HpyConfig):
+def _added(n: int, types: int, customers: int, tables: float, unseen: float, n_buckets: int, config: HpyConfig):
     def run(t: pa.Table, results: pa.Table) -> pa.Table:
-        results = results.sort_by("bucket")
-        pairs, words = results.filter(results.column("counts").is_null()), results.filter(results.column("counts").is_valid())
-        counts = _of(words, "counts", np.int64)
-        p = Pairs(t, counts, n_buckets, config)
-        word = (_of(words, "shares", np.float64) + (config.word_strength + config.word_discount * tables) * _of(words, "mass", np.float64)) / (config.word_strength + customers)
-        left = config.pair_strength + config.pair_discount * _of(words, "fronts", np.float64)
-        log = np.log10((_of(pairs, "shares", np.float64) + left[p.front] * word[p.word]) / (config.pair_strength + counts[p.front]))
-        unigram = np.log10((counts + SMOOTHING) / (n + SMOOTHING * (types + 1)))
+        kinds = results.column("kind")
+        part = lambda k: results.filter(pc.equal(kinds, k)).sort_by("bucket")
+        of = lambda k, c, kind: _joined(_column(part(k), c, kind), kind)
+        p = Pairs(t, part(0), n_buckets, config)
+        spelled = np.power(10.0, of(2, "logs", np.float64))
+        pair_share, share = of(1, "shares", np.float32).astype(np.float64), of(2, "shares", np.float64)
+        left = config.pair_strength + config.pair_discount * of(2, "fronts", np.int64) / (config.sweeps - config.burn_in)
+        over = config.word_strength + config.word_discount * tables
+
+        def logs(mass: np.ndarray) -> np.ndarray:
+            word = (share + over * mass) / (config.word_strength + customers)
+            return np.log10((pair_share + left[p.front] * word[p.word]) / (config.pair_strength + p.counts[p.front]))
+
+        known = p.counts > 0
+        unigram = np.log10((p.counts + SMOOTHING) / (n + SMOOTHING * (types + 1)))
         add = lambda x: np.add.reduceat(x, p.begin)
         docs = t.column("docs")[0].as_py()
         return pa.table({
             "doc_id": pa.array(docs, pa.int64()), "held_out": pa.array(t.column("held")[0].as_py(), pa.bool_()), "n_tokens": pa.array(p.tokens),
-            "n_known": pa.array(add((counts[p.seq] > 0).astype(np.int64))), "train_tokens": pa.array(np.full(len(docs), n, np.int64)),
-            "base_score": pa.array(add(unigram[p.seq])), "score": pa.array(add(log[p.pair])),
+            "n_known": pa.array(add(known[p.seq].astype(np.int64))), "train_tokens": pa.array(np.full(len(docs), n, np.int64)), "base_score": pa.array(add(unigram[p.seq])),
+            "score": pa.array(add(logs(spelled)[p.pair])), "event_score": pa.array(add(logs(np.where(known, spelled, unseen))[p.pair])),
         })
 
     return run
 
 
 def score(documents: DataFrame, held_out: Column, config: HpyConfig = HpyConfig()) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10), learned from rows not held out."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, and base_score, score, event_score (log10), learned from rows not
+    held out."""
     spark = documents.sparkSession
     total = documents.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n_buckets = max(1, -(-total // BUCKET_BYTES))
-    schema = "home long, bucket long, words binary, counts binary, docs array<long>, held array<boolean>, tokens binary, seq binary, hashes binary"
-    homes = materialise(documents.select("doc_id", "text", held_out.alias("held_out")).mapInArrow(_homes(n_buckets), schema), "scoring-homes")
-    words = homes.filter("bucket >= 0").select("home", "bucket", "words", "counts").groupBy("bucket")
-    totals = words.applyInArrow(_totals, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    homes = materialise(documents.select("doc_id", "text", held_out.alias("held_out")).mapInArrow(_homes(n_buckets), HOMES), "scoring-homes")
+    sent = homes.select("home", "words", "buckets", "sizes", "counts").mapInArrow(_send, SENT)
+    merged = materialise(sent.groupBy("bucket").applyInArrow(_merge, MERGED), "scoring-merged")
+    totals = merged.filter("home < 0").select("words", "counts").mapInArrow(_totals, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     found = dict(zip(totals.key.tolist(), totals.n.tolist(), strict=True))
     n, types = found.get(N_TOKENS, 0), found.get(N_TYPES, 0)
     quad = totals[totals.key >= 0]
     spelling = fit_spelling(quad.key.to_numpy(np.int64), quad.n.to_numpy(np.int64), np.array([found.get(BYTES_FROM + b, 0) for b in range(256)], np.int64), config)
     shared = spark.sparkContext.broadcast(spelling)
-    seats = words.applyInArrow(_seats(shared, types, config), "tables double, spelled double").agg(F.sum("tables").alias("tables"), F.sum("spelled").alias("spelled")).first()
-    unseen = max(1.0 - (seats["spelled"] or 0.0), 1e-9)
-    results = words.applyInArrow(_scores(shared, n, types, seats["tables"] or 0.0, unseen, config), "home long, bucket long, counts binary, logs binary")
-    documents_ = homes.filter("bucket < 0").select("home", "docs", "held", "tokens", "seq", "hashes")
-    pairs = documents_.groupBy("home").cogroup(results.groupBy("home")).applyInArrow(_pairs(n_buckets, config), PAIRS)
-    seated_ = materialise(pairs.groupBy("bucket").applyInArrow(_pair_seats(n_buckets, config), SEATED), "scoring-pairs")
-    met = seated_.filter("home < 0").select("bucket", "keys", "customers", "tables")
-    final = materialise(words.cogroup(met.groupBy("bucket")).applyInArrow(_word_seats(shared, types, unseen, config), WORDS), "scoring-words")
-    sums = final.agg(F.sum("customers").alias("customers"), F.sum("tables").alias("tables")).first()
-    shares = seated_.filter("home >= 0").select("home", "bucket", "shares").unionByName(final.drop("customers", "tables"), allowMissingColumns=True)
-    added = _added(n, types, sums["customers"] or 0.0, sums["tables"] or 0.0, n_buckets, config)
-    return documents_.groupBy("home").cogroup(shares.groupBy("home")).applyInArrow(added, SCORED)
+    told = merged.filter("home >= 0").select("home", "bucket", "places", "counts")
+    texts = homes.select("home", "docs", "held", "tokens", "seq")
+    pairs = texts.groupBy("home").cogroup(told.groupBy("home")).applyInArrow(_pairs(n_buckets, config), PAIRS)
+    seated = materialise(pairs.groupBy("bucket").applyInArrow(_pair_seats(n_buckets, n, config), SEATED), "scoring-pairs")
+    met = seated.filter("home < 0").select("bucket", "ids", "customers", "tables")
+    final = materialise(merged.groupBy("bucket").cogroup(met.groupBy("bucket")).applyInArrow(_word_seats(shared, types, n_buckets, config), WORDS), "scoring-words")
+    sums = final.filter("home < 0").agg(*[F.sum(c).alias(c) for c in ("customers", "tables", "spelled")]).first()
+    unseen = max(1.0 - (sums["spelled"] or 0.0), 1e-9)
+    kind = lambda df, k: df.withColumn("kind", F.lit(k))
+    results = kind(told, 0).unionByName(kind(seated.filter("home >= 0").select("home", "bucket", "shares"), 1), allowMissingColumns=True)
+    results = results.unionByName(kind(final.filter("home >= 0").select("home", "bucket", "shares", "logs", "fronts"), 2), allowMissingColumns=True)
+    added = _added(n, types, sums["customers"] or 0, sums["tables"] or 0.0, unseen, n_buckets, config)
+    return texts.groupBy("home").cogroup(results.groupBy("home")).applyInArrow(added, SCORED)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:
-    """held_out, tokens, and perplexity a token under the model and under unigrams."""
+    """held_out, tokens, and perplexity a token under the model and under unigrams, over the same events; and spelled, the
+    model's where words not seen in training are spelled out."""
     ten = lambda c: F.pow(F.lit(10.0), -F.sum(c) / F.sum("n_tokens"))
-    return scored.groupBy("held_out").agg(F.sum("n_tokens").alias("tokens"), ten("score").alias("perplexity"), ten("base_score").alias("base_perplexity"))
+    return scored.groupBy("held_out").agg(F.sum("n_tokens").alias("tokens"), ten("event_score").alias("perplexity"), ten("base_score").alias("base_perplexity"), ten("score").alias("spelled"))
