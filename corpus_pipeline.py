@@ -21,7 +21,7 @@ NEAR = neardup.NearDupConfig(similarity_percent=80, bands=27, rows=4)
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter go, and those whose language can't be told."""
-    model = language.fit(docs.select("text", "lang").filter("text is not null and lang is not null"))
+    model = language.fit(docs.select("doc_id", "text", "lang").filter("text is not null and lang is not null"))
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     told = language.predict(spread(docs), model)
@@ -85,7 +85,7 @@ ORACLE_SQL = None
 
 
 #: What the stages' operators call their scratch tables.
-SCRATCH = ("neardup-", "edges-", "mix-", "pipeline-")
+SCRATCH = ("neardup-", "edges-", "language-", "mix-", "pipeline-")
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
