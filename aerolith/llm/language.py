@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, small
+from .common import materialise, small, spread
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -38,7 +38,7 @@ DRAWS = 1 << 40
 
 @dataclass(frozen=True)
 class LanguageConfig:
-    sample_docs: int = 3_000  # labelled rows of a language that the model is fitted on, about so many at most
+    sample_docs: int = 2_000  # labelled rows of a language that the model is fitted on, about so many at most
     longest: int = 5
     penalty: float = -7.0
     steady: int = 10
@@ -48,14 +48,41 @@ def words_of(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
 
-def grams_of(word: str, n: int) -> list[str]:
-    padded = f" {word} "
-    return [padded[i : i + n] for i in range(len(padded) - n + 1)]
+def codes_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", errors="surrogatepass"), np.uint32)
+
+
+U, MIX = np.uint64, np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hashed(codes: np.ndarray, at: np.ndarray, kind: int) -> np.ndarray:
+    """Of the n-grams of kind code points from the places at on."""
+    h = np.full(len(at), kind, U) * MIX
+    for k in range(kind):
+        h = (h ^ codes[at + k]) * MIX
+        h ^= h >> U(29)
+    h *= U(0xBF58476D1CE4E5B9)
+    return h ^ (h >> U(32))
+
+
+def grams(words: list[str], kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all n-grams of kind code points of words, each padded with a space before and behind, and each one's word."""
+    codes = codes_of(" " + "  ".join(words) + " ") if words else np.zeros(0, np.uint32)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    count = np.maximum(sizes - kind + 1, 0)
+    owner = np.repeat(np.arange(len(words)), count)
+    at = (np.cumsum(sizes) - sizes)[owner] + np.arange(len(owner)) - (np.cumsum(count) - count)[owner]
+    return _hashed(codes, at, kind), owner
+
+
+def entries(words: list[str]) -> np.ndarray:
+    """Hashes of words."""
+    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode(errors="surrogatepass")) for w in words), U, len(words))
 
 
 def entry(kind: int, gram: str) -> int:
     """The hash of a word (kind 0) or n-gram (kind n)."""
-    return xxhash.xxh3_64_intdigest(gram.encode(errors="replace"), seed=kind)
+    return int(entries([gram])[0] if kind == 0 else _hashed(codes_of(gram), np.zeros(1, np.int64), kind)[0])
 
 
 class Model:
@@ -77,56 +104,67 @@ class Model:
         self.languages, self.shares, self.config = languages, np.array(shares), config
         self.keys, self.rows = keys[order], rows[order]
 
-    def _known(self, kind: int, grams: list[str]) -> np.ndarray:
-        """Places of those that the model has."""
+    def _places(self, wanted: np.ndarray) -> np.ndarray:
+        """Of hashes: their row, or -1."""
         if not len(self.keys):
-            return np.zeros(0, np.int64)
-        wanted = np.fromiter((entry(kind, g) for g in grams), np.uint64, len(grams))
+            return np.full(len(wanted), -1)
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return at[self.keys[at] == wanted]
+        return np.where(self.keys[at] == wanted, at, -1)
+
+    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row of scores for each word, and whether the model knows anything of it."""
+        at = self._places(entries(words))
+        told, rows = at >= 0, np.zeros((len(words), len(self.languages)))
+        rows[told] = self.rows[at[told]]
+        for kind in range(self.config.longest, 0, -1):
+            left = np.flatnonzero(~told)
+            if not len(left):
+                break
+            hashes, owner = grams([words[k] for k in left.tolist()], kind)
+            at = self._places(hashes)
+            owner, at = owner[at >= 0], at[at >= 0]
+            n = np.bincount(owner, minlength=len(left))
+            some = n > 0
+            for c in range(rows.shape[1]):
+                rows[left[some], c] = np.bincount(owner, self.rows[at, c], len(left))[some] / n[some]
+            told[left[some]] = True
+        return rows, told
 
     def word(self, word: str) -> tuple[float, ...] | None:
-        for kind in (0, *range(self.config.longest, 0, -1)):
-            known = self._known(kind, grams_of(word, kind) if kind else [word])
-            if len(known):
-                return tuple((self.rows[known].sum(0) / len(known)).tolist())
-        return None
+        rows, told = self.score([word])
+        return tuple(rows[0].tolist()) if told[0] else None
 
 
-class Scorer(dict):
-    """Index of each word's scores; index 0 is for words that say nothing."""
+class Scorer:
+    """Predicts texts; remembers the scores of words met lately. Row 0 is for words that say nothing."""
 
-    MOST = 60_000
-    LONG = 64  # letters from which on a word is not remembered
+    MOST = 100_000
 
     def __init__(self, model: Model):
-        self.model = model
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.rows = np.zeros((1024, len(self.model.languages)))
-        self.used = 1
-
-    def __missing__(self, word: str) -> int:
-        scores, at = self.model.word(word), 0
-        if scores is not None:
-            if self.used == len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            at = self.used
-            self.rows[at] = scores
-            self.used += 1
-        if len(word) <= self.LONG:
-            self[word] = at
-        return at
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words, m = words_of(text), self.model
+        self.model, self.place, self.letters = model, {}, 0
+        self.rows, self.told = np.zeros((1, len(model.languages))), np.zeros(1, bool)
+
+    def _learn(self, texts: list[list[str]]) -> None:
+        if len(self.place) > self.MOST or self.letters > 32 * self.MOST:
+            self.__init__(self.model)
+        new = list({w: None for words in texts for w in words if w not in self.place})
+        if new:
+            rows, told = self.model.score(new)
+            self.place.update(zip(new, np.where(told, np.arange(len(self.rows), len(self.rows) + len(new)), 0).tolist(), strict=True))
+            self.rows = np.concatenate([self.rows, rows])
+            self.letters += sum(map(len, new))
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        split = [words_of(x) for x in texts]
+        if self.model.languages:
+            self._learn(split)
+        return [self._one(words) for words in split]
+
+    def _one(self, words: list[str]) -> tuple[str, float]:
+        m = self.model
         if not m.languages or not any(any(map(str.isalpha, w)) for w in words):  # numerals such as ² stand among letters
             return UNKNOWN, 0.0
-        if max(len(self), self.used) > self.MOST:
-            self.reset()
-        ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        ids = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         ids = ids[ids > 0]
         if not len(ids):
             best = int(m.shares.argmax())
@@ -136,6 +174,21 @@ class Scorer(dict):
         return m.languages[best], float(1 / np.power(10.0, (mean - mean[best]) * min(len(ids), m.config.steady)).sum())
 
 
+#: Characters of texts that are split and looked up at once, one text at least.
+TOGETHER = 2 << 20
+
+
+def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
+    group, size = [], 0
+    for x in texts:
+        group.append(x)
+        size += len(x or "")
+        if size >= TOGETHER:
+            yield group
+            group, size = [], 0
+    yield group
+
+
 def sample(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> tuple[DataFrame, dict[str, int]]:
     """Rows to fit on, drawn for each language by a hash of all columns given; and the rows that each language has."""
     counts = materialise(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "language-counts")
@@ -147,63 +200,57 @@ def sample(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> tu
     return labelled.withColumn("_drawn", drawn).join(small(bound, len(docs)), "lang").filter("_drawn < _below").select("lang", "text"), docs
 
 
-COUNTS = "lang string, kind int, gram string, n long"
+def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words by language, summed as far as fits."""
+    counts: Counter = Counter()
 
+    def rows() -> pa.RecordBatch:
+        keys, n = list(counts), pa.array(counts.values(), pa.int64())
+        columns = [pa.array([k[i] for k in keys], pa.string()) for i in range(2)]
+        counts.clear()
+        return pa.RecordBatch.from_arrays([*columns, n], names=["lang", "word", "n"])
 
-def _counted(pairs_of):
-    """Counts of what pairs_of yields for a batch, (lang, kind, gram, n), summed as far as fits."""
+    for batch in batches:
+        for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for word, n in Counter(words_of(text)).items():
+                counts[lang, word] += n
+            if len(counts) >= 100_000:
+                yield rows()
+    yield rows()
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def rows() -> pa.RecordBatch:
-            keys, n = list(counts), pa.array(counts.values(), pa.int64())
-            columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string()))]
-            counts.clear()
-            return pa.RecordBatch.from_arrays([*columns, n], names=["lang", "kind", "gram", "n"])
 
+def _entries(longest: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts of words and n-grams by their hashes; n-grams are cut once a word."""
         for batch in batches:
-            for lang, kind, gram, n in pairs_of(batch):
-                counts[lang, kind, gram] += n
-                if len(counts) >= 100_000:
-                    yield rows()
-        yield rows()
+            langs, words = batch.column(0).dictionary_encode(), batch.column(1).to_pylist()
+            lang, n = langs.indices.to_numpy(), batch.column(2).to_numpy()
+            for kind in range(longest + 1):
+                hashes, owner = grams(words, kind) if kind else (entries(words), np.arange(len(words)))
+                order = np.lexsort((hashes, lang[owner]))
+                hashes, of, weight = hashes[order], lang[owner][order], n[owner][order]
+                first = np.flatnonzero(np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])])) if len(hashes) else np.zeros(0, np.int64)
+                total = np.add.reduceat(weight, first) if len(first) else np.zeros(0, np.int64)
+                columns = [langs.dictionary.take(pa.array(of[first])), pa.array(np.full(len(first), kind, np.int32)), pa.array(hashes[first].view(np.int64)), pa.array(total, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "kind", "entry", "n"])
 
     return run
 
 
-def _words(batch: pa.RecordBatch):
-    for lang, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-        for word, n in Counter(words_of(text)).items():
-            yield lang, 0, word, n
-
-
-def _grams(longest: int):
-    def cut(batch: pa.RecordBatch):
-        for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for kind in range(1, longest + 1):
-                for gram in grams_of(word, kind):
-                    yield lang, kind, gram, n
-
-    return cut
-
-
 def fit(labelled: DataFrame, config: LanguageConfig = LanguageConfig()) -> Model:
     """labelled: text and lang, both non-null, and columns that tell rows apart, if there are any."""
     rows, docs = sample(labelled, config)
-    total = lambda df: df.groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
-    words = materialise(total(rows.mapInArrow(_counted(_words), COUNTS)), "language-words")
-    grams = total(words.select("lang", "gram", "n").mapInArrow(_counted(_grams(config.longest)), COUNTS))
-    found = words.unionByName(grams).toArrow()  # bounded by the sample's rows
+    words = materialise(rows.mapInArrow(_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-words")
+    counted = spread(words).mapInArrow(_entries(config.longest), "lang string, kind int, entry long, n long")
+    found = counted.groupBy("lang", "kind", "entry").agg(F.sum("n").alias("n")).toArrow()  # bounded by the sample's rows
     languages, everything = sorted(docs), sum(docs.values())
     lang = found.column("lang").combine_chunks().dictionary_encode()
     place = np.array([languages.index(x) for x in lang.dictionary.to_pylist()], np.int64)
     at = place[lang.indices.to_numpy()] if len(lang) else np.zeros(0, np.int64)
     kind, n = found.column("kind").to_numpy(), found.column("n").to_numpy().astype(np.float64)
-    keys = np.fromiter((entry(k, g) for k, g in zip(kind.tolist(), found.column("gram").to_pylist(), strict=True)), np.uint64, len(kind))
     of = at * (config.longest + 1) + kind
     sums = np.bincount(of, n, max(1, len(languages)) * (config.longest + 1))
-    known, row = np.unique(keys, return_inverse=True)
+    known, row = np.unique(found.column("entry").to_numpy().view(U), return_inverse=True)
     scores = np.full((len(known), len(languages)), config.penalty)
     scores[row, at] = np.maximum(config.penalty, np.log10(n / sums[of]))
     return Model.of(languages, [docs[x] / everything for x in languages], known, scores, config)
@@ -219,7 +266,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
         scorer = Scorer(shared.value)
         for batch in batches:
             col = batch.column(batch.schema.get_field_index("text"))
-            found = [scorer.predict(x.as_py()) for x in col]
+            found = [x for group in _groups(col.to_pylist()) for x in scorer.predict(group)]
             names = [*batch.schema.names, "lang_pred", "lang_score"]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())], names=names)
 
