@@ -40,12 +40,24 @@ def tumble(at: Column, width_us: int = DEFAULT_WINDOW_US) -> Column:
 
 
 def mean_4dp(total: Column, count: Column, unit: int = 100) -> Column:
-    """total / unit / count rounded to four decimals, half up, by whole numbers alone: sums in any order agree.
+    """total / unit / count rounded to four decimals, halves away from zero, by whole numbers alone: sums in any order agree.
 
-    total counts 1/unit parts and is not negative.
+    total counts 1/unit parts.
     """
     scale = 10_000 // unit
-    return F.call_function("div", total * (2 * scale) + count, count * 2) / F.lit(10_000.0)
+    size = F.call_function("div", F.abs(total) * (2 * scale) + count, count * 2)
+    return F.when(total < 0, -size).otherwise(size) / F.lit(10_000.0)
+
+
+def iso_utc(at: Column, fraction: bool = False) -> Column:
+    """Microseconds since the epoch as text in UTC, 2026-01-01T00:00:00+00:00, whatever the session's time zone."""
+    seconds = F.floor(at / SECOND)
+    day, rest = F.floor(seconds / 86_400), F.pmod(seconds, F.lit(86_400))
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    date = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), day.cast("int")), "yyyy-MM-dd")
+    time = F.concat_ws(":", two(F.floor(rest / 3600)), two(F.pmod(F.floor(rest / 60), F.lit(60))), two(F.pmod(rest, F.lit(60))))
+    part = F.concat(F.lit("."), F.lpad(F.pmod(at, F.lit(SECOND)).cast("string"), 6, "0")) if fraction else F.lit("")
+    return F.concat(date, F.lit("T"), time, part, F.lit("+00:00"))
 
 
 def finite(x: Column) -> Column:
@@ -81,7 +93,7 @@ def kept_when_shedding(cell: Column, fraction: float) -> Column:
 
 def trace_id(icao24: Column, event_time: Column) -> Column:
     """16 hex digits that name a row; stable over reruns."""
-    return F.substring(F.sha2(F.concat_ws("|", icao24, F.date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")), 256), 1, 16)
+    return F.substring(F.sha2(F.concat_ws("|", icao24, iso_utc(F.unix_micros(event_time), True)), 256), 1, 16)
 
 
 def in_box(lat: Column, lon: Column, box: Sequence[float]) -> Column:

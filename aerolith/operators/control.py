@@ -135,3 +135,75 @@ def stabilised(samples: DataFrame, threshold: int, hold: int = 3, by: str = "run
     ahead = Window.partitionBy(by).orderBy("at").rowsBetween(0, hold - 1)
     calm = (F.count_if(F.col("lag") <= threshold).over(ahead) == hold)
     return samples.withColumn("calm", calm).groupBy(by).agg(F.min(F.when(F.col("calm"), F.col("at"))).alias("stable_at"))
+
+
+def time_to_stabilise(samples: DataFrame, threshold: int, from_index: int, interval_s: float, hold: int = 3, by: str = "run") -> DataFrame:
+    """Per run the seconds from the sample at from_index until lag stays at or below the threshold for `hold` samples in a row
+    (null: never)."""
+    order = Window.partitionBy(by).orderBy("at")
+    calm = F.count_if(F.col("lag") <= threshold).over(order.rowsBetween(0, hold - 1)) == hold
+    rows = samples.withColumn("i", F.row_number().over(order) - 1).withColumn("calm", calm)
+    return rows.groupBy(by).agg(((F.min(F.when(F.col("calm") & (F.col("i") >= from_index), F.col("i"))) - from_index) * F.lit(interval_s)).alias("seconds"))
+
+
+def actions_before(decisions: DataFrame, index: int, by: str = "run") -> DataFrame:
+    """Per run how many of its first `index` decisions did something: at a steady load each of them is a false alarm."""
+    rows = decisions.withColumn("i", F.row_number().over(Window.partitionBy(by).orderBy("at")))
+    return rows.groupBy(by).agg(F.count_if((F.col("action") != "hold") & (F.col("i") <= index)).alias("actions"))
+
+
+def analyse(samples: DataFrame, threshold: int, from_index: int, interval_s: float, by: str = "run") -> DataFrame:
+    """Per run (an arm) what it is judged on. samples: run, at, lag, published (events in the interval), and shed, if any were.
+    What was published and neither shed nor drained by the end is the final lag."""
+    shed = F.sum("shed") if "shed" in samples.columns else F.lit(0)
+    one = samples.groupBy(by).agg(F.max("lag").alias("peak_lag"), F.max_by("lag", "at").alias("final_lag"), F.sum("published").alias("published"), shed.alias("shed"))
+    one = one.withColumn("undrained", F.col("final_lag")).withColumn("stored", F.col("published") - F.col("shed") - F.col("undrained"))
+    one = one.withColumn("absorbed_pct", F.round(F.col("stored") * 100.0 / F.col("published"), 4))
+    steady = time_to_stabilise(samples, threshold, from_index, interval_s, by=by).withColumnRenamed("seconds", "stabilise_s")
+    return one.join(steady, by).select(by, "peak_lag", "final_lag", "published", "stored", "undrained", "absorbed_pct", "stabilise_s")
+
+
+@dataclass(frozen=True)
+class Load:
+    """Offered load in phases of (seconds, events a second), a worker's capacity, and the interval of samples."""
+
+    phases: tuple[tuple[float, float], ...] = ((30.0, 120.0), (70.0, 720.0), (40.0, 120.0), (60.0, 0.0))
+    per_worker: float = 250.0
+    interval_s: float = 2.0
+    shed_fraction: float = 0.25
+
+
+def simulate(load: Load = Load(), config: ControllerConfig = ControllerConfig(cooldown_s=6.0), adaptive: bool = True) -> list[dict]:
+    """One arm under load, a row a sample: workers drain up to their capacity of what was not shed; the controller sees each
+    sample's lag, or, in the static arm, is only told of it. The supervised loop of a live pipeline in miniature."""
+    controller, lag, at, points, rows = Controller(config), 0.0, 0.0, [], []
+    for seconds, rate in load.phases:
+        for _ in range(round(seconds / load.interval_s)):
+            at += load.interval_s
+            published = rate * load.interval_s
+            shed = published * load.shed_fraction if controller.shedding and adaptive else 0.0
+            workers = controller.workers if adaptive else config.min_workers
+            lag = max(0.0, lag + published - shed - workers * load.per_worker * load.interval_s)
+            points = [*points, (at, lag)][-config.window_samples :]
+            slope, t = _fit(points)
+            sure = len(points) >= config.least_samples and t >= config.significance
+            growing = sure and slope > config.growth_per_s and lag >= config.lag_floor
+            quiet = lag < config.quiet_below
+            draining = (sure and slope < config.drain_per_s) or (quiet and not growing)
+            action = controller.observe(at, growing, quiet, draining) if adaptive else "hold"
+            rows.append({"at": at, "lag": round(lag), "published": round(published), "shed": round(shed), "action": action, "workers": controller.workers if adaptive else workers})
+    return rows
+
+
+def _fit(points: list[tuple[float, float]]) -> tuple[float, float]:
+    """Slope of a line through the points and its t statistic, as in trend()."""
+    k = len(points)
+    mx, my = sum(x for x, _ in points) / k, sum(y for _, y in points) / k
+    sxx, sxy = sum((x - mx) ** 2 for x, _ in points), sum((x - mx) * (y - my) for x, y in points)
+    if k < 3 or sxx <= 0:
+        return 0.0, 0.0
+    slope = sxy / sxx
+    sse = sum((y - my - slope * (x - mx)) ** 2 for x, y in points)
+    if sse <= 0:
+        return slope, 0.0 if slope == 0 else float("inf")
+    return slope, abs(slope) / (sse / (k - 2) / sxx) ** 0.5

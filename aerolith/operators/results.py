@@ -1,38 +1,37 @@
-"""Benchmark results as JSON files with their environment, and plans as text."""
+"""Results of benchmark runs as a table of measured values, and plans as text or with what their operators did."""
 
 from __future__ import annotations
 
-import json
 import platform
 import sys
-import time
-from pathlib import Path
+import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.operators.store import summary
 
+VALUES = "run string, name string, at timestamp, python string, machine string, metric string, value double"
 
-def write_result(folder: str, name: str, values: dict) -> Path:
-    """A new file a run; name, time, environment and values."""
-    at = time.strftime("%Y%m%dT%H%M%SZ", time.gmtime())
-    path = Path(folder) / f"{name}-{at}.json"
-    path.parent.mkdir(parents=True, exist_ok=True)
-    environment = {"python": sys.version.split()[0], "machine": platform.machine(), "system": platform.system()}
-    path.write_text(json.dumps({"name": name, "at": at, "environment": environment, "values": values}, indent=1))
-    return path
 
+def record(spark: SparkSession, path: str, name: str, values: Mapping[str, float]) -> str:
+    """Adds a run's values to the table at path, a row a value, with when and where it ran; the run's id."""
+    run = uuid.uuid4().hex
+    rows = spark.createDataFrame([(k, float(v)) for k, v in values.items()], "metric string, value double")
+    told = {"run": F.lit(run), "name": F.lit(name), "at": F.current_timestamp(), "python": F.lit(sys.version.split()[0]), "machine": F.lit(platform.machine())}
+    rows.withColumns(told).select(*[x.split()[0] for x in VALUES.split(", ")]).coalesce(1).write.mode("append").json(path)
+    return run
 
-def load_results(spark: SparkSession, pattern: str) -> DataFrame:
-    """run (its file), name, at, metric, value: a row a value."""
-    rows = spark.read.schema("name string, at string, values map<string, double>").json(pattern, multiLine=True)
-    return rows.select(F.input_file_name().alias("run"), "name", "at", F.explode("values").alias("metric", "value"))
 
+def runs(spark: SparkSession, path: str) -> DataFrame:
+    """The table at path: a row a value of a run."""
+    return spark.read.schema(VALUES).json(path)
 
-def summarise(results: DataFrame) -> DataFrame:
+
+def summarise(values: DataFrame) -> DataFrame:
     """Statistics of each metric of each name over its runs."""
-    return summary(results, "value", ["name", "metric"])
+    return summary(values, "value", ["name", "metric"])
 
 
 def render(rows: DataFrame, limit: int = 20) -> str:
@@ -43,3 +42,23 @@ def render(rows: DataFrame, limit: int = 20) -> str:
 
 def plan(rows: DataFrame, mode: str = "formatted") -> str:
     return rows._jdf.queryExecution().explainString(rows.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+
+
+def measured_plan(rows: DataFrame) -> list[tuple[int, str, int | None]]:
+    """Runs rows and gives depth, operator and rows made of each operator of the plan that ran."""
+    executed = rows._jdf.queryExecution().executedPlan()
+    executed.execute().count()
+    out = []
+
+    def walk(node, depth: int) -> None:
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan(), depth)
+        made = node.metrics().get("numOutputRows")
+        out.append((depth, name, made.get().value() if made.isDefined() else None))
+        below = [node.plan()] if name.endswith("QueryStage") else [node.children().apply(k) for k in range(node.children().size())]
+        for x in below:
+            walk(x, depth + 1)
+
+    walk(executed, 0)
+    return out

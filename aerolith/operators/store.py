@@ -4,40 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from aerolith.operators.slices import MINUTE_US, SLICE_ROWS, sliced
+
 
 class IncompleteStream(RuntimeError):
     """A sealed read found less than it was promised."""
 
 
-def to_log(rows: DataFrame, key: str, partitions: int, order: Sequence[str], base: int = 0) -> DataFrame:
-    """rows with partition (a stable hash of the key) and offset (their place in it, from base on).
+def to_log(rows: DataFrame, key: str, partitions: int, order: Sequence[str], base: int = 0, slice_us: int = MINUTE_US, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """rows with partition (a stable hash of the key) and offset (their place in it, from base on). The order's first column
+    is a time in microseconds.
 
     Places within a partition come from counts of slices of the order and places within a slice, so a partition of the
     log is not a task.
     """
     part = F.conv(F.substring(F.md5(F.col(key).cast("binary")), 1, 6), 16, 10).cast("long") % partitions
-    rows = rows.withColumn("partition", part).withColumn("_slice", F.floor(F.col(order[0]) / (24 * 3600 * 1_000_000)))
-    before = Window.partitionBy("partition").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy("partition", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    starts = counts.select("partition", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("partition", "_slice").orderBy(*order)) - 1
-    return rows.join(starts, ["partition", "_slice"]).withColumn("offset", F.lit(base) + F.col("_start") + place).drop("_slice", "_start")
+    return _placed(rows.withColumn("partition", part), ["partition"], order, "offset", base, slice_us, slice_rows)
 
 
-def arrival_order(rows: DataFrame, order: Sequence[str], slice_us: int = 24 * 3600 * 1_000_000) -> DataFrame:
+def arrival_order(rows: DataFrame, order: Sequence[str], slice_us: int = MINUTE_US, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """All rows with at: their place, from 1 on, in the order, whose first column is a time in microseconds.
 
-    As in to_log, places come from counts of slices of that time and places within a slice, so no task reads all rows.
+    As in to_log, places come from counts of slices and places within a slice, so no task reads all rows.
     """
-    rows = rows.withColumn("_slice", F.floor(F.col(order[0]) / slice_us))
-    counts = rows.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
-    return rows.join(starts, "_slice").withColumn("at", F.col("_start") + place).drop("_slice", "_start")
+    return _placed(rows, [], order, "at", 1, slice_us, slice_rows)
+
+
+def _placed(rows: DataFrame, by: list[str], order: Sequence[str], name: str, base: int, slice_us: int, slice_rows: int) -> DataFrame:
+    rows, n = sliced(rows, order[0], "_slice", slice_us, slice_rows)
+    if n == 1:
+        place = F.row_number().over((Window.partitionBy(*by) if by else Window).orderBy(*order))
+        return rows.withColumn(name, (place + (base - 1)).cast("long")).drop("_slice")
+    counts = rows.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = (Window.partitionBy(*by) if by else Window).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*by, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy(*order))
+    return rows.join(starts, [*by, "_slice"]).withColumn(name, F.col("_start") + place + (base - 1)).drop("_slice", "_start")
 
 
 def partition_stats(log: DataFrame) -> DataFrame:
@@ -47,15 +52,18 @@ def partition_stats(log: DataFrame) -> DataFrame:
 def sealed(log: DataFrame, ends: DataFrame) -> DataFrame:
     """Exactly the rows before each partition's end; raises where the log lacks any of them or there is none at all.
 
-    ends: partition, begin_offset, end_offset. The check compares counts a partition.
+    ends: partition, begin_offset, end_offset, a row a partition of the log. One pass over the log's offsets checks that each
+    partition has as many different ones as it should.
     """
-    read = log.join(F.broadcast(ends.withColumnsRenamed({"begin_offset": "_begin", "end_offset": "_end"})), "partition").filter("offset >= _begin and offset < _end").drop("_begin", "_end")
+    named = ends.withColumnsRenamed({"begin_offset": "_begin", "end_offset": "_end"})
+    read = log.join(named, "partition").filter("offset >= _begin and offset < _end").drop("_begin", "_end")
     got = read.groupBy("partition").agg(F.countDistinct("offset").alias("got"))
-    short = ends.join(got, "partition", "left").filter("coalesce(got, 0) <> end_offset - begin_offset")
-    if ends.agg(F.coalesce(F.sum(F.expr("end_offset - begin_offset")), F.lit(0)).alias("n")).first()["n"] == 0:
+    told = ends.join(got, "partition", "left").select("partition", F.coalesce("got", F.lit(0)).alias("got"), (F.col("end_offset") - F.col("begin_offset")).alias("wanted"))
+    one = told.agg(F.coalesce(F.sum("wanted"), F.lit(0)).alias("n"), F.min(F.when(F.col("got") != F.col("wanted"), F.struct("partition", "got", "wanted"))).alias("short")).first()
+    if one["n"] == 0:
         raise IncompleteStream("the log is empty")
-    if (missing := short.first()) is not None:
-        raise IncompleteStream(f"partition {missing['partition']} has {missing['got'] or 0} of {missing['end_offset'] - missing['begin_offset']} messages")
+    if (short := one["short"]) is not None:
+        raise IncompleteStream(f"partition {short['partition']} has {short['got']} of {short['wanted']} messages")
     return read
 
 
@@ -113,15 +121,60 @@ def summary(rows: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def inversions(rows: DataFrame, slice_us: int = 24 * 3600 * 1_000_000) -> DataFrame:
+def inversions(rows: DataFrame, slice_us: int = MINUTE_US, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row: how many rows, by arrival, have an event time before that of the row in front of them.
 
-    Slices of arrival time are ordered on their own; the last row of the slice before is carried in.
+    Slices of the order are sorted on their own; the last row of the slice before is carried in.
     """
     order = ["ingest_us", "icao24", "event_us", "copy"]
-    rows = rows.withColumn("_slice", F.floor(F.col("ingest_us") / slice_us))
-    ends = rows.groupBy("_slice").agg(F.max_by("event_us", F.struct(*order)).alias("_last"))
-    carried = ends.select("_slice", F.lag("_last").over(Window.orderBy("_slice")).alias("_carried"))
-    inside = F.lag("event_us").over(Window.partitionBy("_slice").orderBy(*order))
-    before = F.coalesce(inside, F.col("_carried"))
-    return rows.join(carried, "_slice").withColumn("_before", before).agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("event_us") < F.col("_before")).alias("inversions"))
+    rows, n = sliced(rows, "ingest_us", "_slice", slice_us, slice_rows)
+    before = F.lag("event_us").over((Window.partitionBy("_slice") if n > 1 else Window).orderBy(*order))
+    if n > 1:
+        ends = rows.groupBy("_slice").agg(F.max_by("event_us", F.struct(*order)).alias("_last"))
+        rows = rows.join(ends.select("_slice", F.lag("_last").over(Window.orderBy("_slice")).alias("_carried")), "_slice")
+        before = F.coalesce(before, F.col("_carried"))
+    return rows.withColumn("_before", before).agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("event_us") < F.col("_before")).alias("inversions"))
+
+
+DAY_US = 24 * 3600 * 1_000_000
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path in it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def save_days(rows: DataFrame, path: str, time: str = "event_us", mode: str = "append") -> None:
+    """rows as a table in a folder a day, so retention drops whole folders."""
+    day = F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col(time) / DAY_US).cast("int")), "yyyy-MM-dd")
+    rows.withColumn("day", day).write.mode(mode).partitionBy("day").parquet(path)
+
+
+def drop_days(spark: SparkSession, path: str, before: str) -> int:
+    """Deletes the days before `before` (yyyy-mm-dd) of a table of save_days(); how many there were. Rows are not read."""
+    files, at = _folder(spark, path)
+    old = [x.getPath() for x in files.listStatus(at) if x.getPath().getName().startswith("day=") and x.getPath().getName() < f"day={before}"]
+    for x in old:
+        files.delete(x, True)
+    return len(old)
+
+
+def delete_where(spark: SparkSession, path: str, condition: Column) -> int:
+    """Deletes the rows for which condition holds from the table at path, by writing the others beside it and then taking its
+    place; how many there were. Rows for which it is null stay."""
+    rows = spark.read.parquet(path)
+    gone = F.coalesce(condition, F.lit(False))
+    n = rows.filter(gone).count()
+    if n:
+        days = [c for c in ("day",) if c in rows.columns]
+        rows.filter(~gone).write.mode("overwrite").partitionBy(*days).parquet(f"{path}.next")
+        files, at = _folder(spark, path)
+        files.delete(at, True)
+        files.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.next"), at)
+    return n
+
+
+def truncate(spark: SparkSession, path: str) -> None:
+    """Empties the table at path; its schema stays."""
+    spark.createDataFrame([], spark.read.parquet(path).schema).write.mode("overwrite").parquet(path)

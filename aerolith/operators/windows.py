@@ -9,12 +9,14 @@ source's mark; the watermark is the least mark of the sources heard, less the al
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolith.functions.telemetry import mean_4dp, tumble
+from aerolith.functions.telemetry import iso_utc, mean_4dp, tumble
+from aerolith.operators.slices import MINUTE_US, SLICE_ROWS, sliced
 
 ORDER = ("ingest_us", "icao24", "event_us", "copy")
 KEY = ("icao24", "event_us")
@@ -41,30 +43,51 @@ def naive(arrivals: DataFrame, width_us: int) -> DataFrame:
     return aggregate(first_copies(arrivals), "ingest_us", width_us)
 
 
-def annotate(arrivals: DataFrame, sources: Sequence[int], width_us: int, lateness_us: int, slice_us: int = 24 * 3600 * 1_000_000) -> DataFrame:
-    """First copies with window_us, mark_us (the watermark after the row), frontier_us (before it) and is_late.
+def annotate(arrivals: DataFrame, sources: Sequence[int], width_us: int, lateness_us: int, slice_us: int = MINUTE_US, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """First copies with window_us, mark_us (the watermark after the row), frontier_us (before it) and is_late."""
+    return _marked(first_copies(arrivals), sources, width_us, lateness_us, slice_us, slice_rows)
 
-    Running maxima over the whole order are taken in slices of arrival time: maxima within a slice run in its own task,
-    and what earlier slices add is a scan over one row a slice. No task sees more rows than a slice has.
-    """
-    rows = first_copies(arrivals).withColumn("slice", F.floor(F.col("ingest_us") / slice_us))
-    inside = Window.partitionBy("slice").orderBy(*ORDER)
+
+def _marked(rows: DataFrame, sources: Sequence[int], width_us: int, lateness_us: int, slice_us: int, slice_rows: int) -> DataFrame:
+    """Running maxima over the whole order are taken in slices of it: maxima within a slice run in its own task, and what
+    earlier slices add is a scan over one row a slice. An order of one slice needs neither."""
+    rows, n = sliced(rows, ORDER[0], "_slice", slice_us, slice_rows)
+    inside = Window.partitionBy("_slice").orderBy(*ORDER) if n > 1 else Window.orderBy(*ORDER)
     upto, before = inside.rowsBetween(Window.unboundedPreceding, 0), inside.rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     of = lambda s: F.max(F.when(F.col("src") == s, F.col("event_us")))
     # greatest and least pass over nulls, so a source that was not heard yet has no say
     skip = lambda f, cols: cols[0] if len(cols) == 1 else f(*cols)
-
-    sums = rows.groupBy("slice").agg(*[of(s).alias(f"s{s}") for s in sources])
-    carried = sums.select("slice", *[F.max(f"s{s}").over(earlier).alias(f"c{s}") for s in sources])
-    marked = rows.join(carried, "slice").withColumns({f"m{s}": F.greatest(F.col(f"c{s}"), of(s).over(upto)) for s in sources})
-    marked = marked.withColumn("mark_us", skip(F.least, [F.col(f"m{s}") for s in sources]) - lateness_us)
-    marked = marked.drop(*[f"{x}{s}" for s in sources for x in "cm"])
-    reached = marked.groupBy("slice").agg(F.max("mark_us").alias("top")).select("slice", F.max("top").over(earlier).alias("carried_us"))
-    out = marked.join(reached, "slice").withColumn("frontier_us", F.greatest(F.col("carried_us"), F.max("mark_us").over(before)))
-    out = out.withColumn("window_us", tumble(F.col("event_us"), width_us))
+    marks = [of(s).over(upto) for s in sources]
+    if n > 1:
+        carried = rows.groupBy("_slice").agg(*[of(s).alias(f"_s{s}") for s in sources])
+        carried = carried.select("_slice", *[F.max(f"_s{s}").over(earlier).alias(f"_c{s}") for s in sources])
+        rows = rows.join(carried, "_slice")
+        marks = [F.greatest(F.col(f"_c{s}"), m) for s, m in zip(sources, marks, strict=True)]
+    rows = rows.withColumns({f"_m{s}": m for s, m in zip(sources, marks, strict=True)})
+    rows = rows.withColumn("mark_us", skip(F.least, [F.col(f"_m{s}") for s in sources]) - lateness_us)
+    rows = rows.drop(*[f"{x}{s}" for s in sources for x in ("_c", "_m")])
+    frontier = F.max("mark_us").over(before)
+    if n > 1:
+        reached = rows.groupBy("_slice").agg(F.max("mark_us").alias("_top")).select("_slice", F.max("_top").over(earlier).alias("_carried"))
+        rows, frontier = rows.join(reached, "_slice"), F.greatest(F.col("_carried"), frontier)
+    rows = rows.withColumn("frontier_us", frontier).withColumn("window_us", tumble(F.col("event_us"), width_us))
     late = F.col("frontier_us").isNotNull() & (F.col("window_us") + width_us <= F.col("frontier_us"))
-    return out.withColumn("is_late", late).drop("slice", "carried_us")
+    return rows.withColumn("is_late", late).drop("_slice", "_carried")
+
+
+def outcomes(arrivals: DataFrame, sources: Sequence[int], width_us: int, lateness_us: int, keep_windows: int | None = None, slice_us: int = MINUTE_US, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """All arrivals, repeats among them, with window_us, mark_us, frontier_us and outcome: counted, late or duplicate.
+
+    keep_windows: how many windows behind the frontier keys are remembered. A repeat of a key that is forgotten is reported
+    late, as its window has long been closed; only where 0 are kept may it still be open, and the repeat counts again. A
+    repeat has its first copy's source and moves no mark.
+    """
+    marked = _marked(arrivals, sources, width_us, lateness_us, slice_us, slice_rows)
+    nth = F.row_number().over(Window.partitionBy(*KEY).orderBy(*ORDER))
+    forgotten = F.lit(False) if keep_windows is None else F.coalesce(F.col("window_us") < F.col("frontier_us") - keep_windows * width_us, F.lit(False))
+    outcome = F.when((F.col("_nth") > 1) & ~forgotten, "duplicate").when(F.col("is_late"), "late").otherwise("counted")
+    return marked.withColumn("_nth", nth).withColumn("outcome", outcome).drop("_nth", "is_late")
 
 
 def on_time_windows(annotated: DataFrame, width_us: int) -> DataFrame:
@@ -91,9 +114,12 @@ def accounting(arrivals: DataFrame, annotated: DataFrame) -> DataFrame:
     return a.crossJoin(b).select("arrived", "processed", (F.col("arrived") - F.col("processed")).alias("duplicates"), "windowed", "late", "final_watermark_us", "max_event_us")
 
 
-def minimum_retention(lateness_us: int, width_us: int) -> int:
-    """Windows for which seen keys must be kept, lest a repeat be counted again."""
-    return -(-lateness_us // width_us) + 1
+def minimum_retention(lateness_us: int, width_us: int, keep_windows: int | None = None) -> int:
+    """Windows for which seen keys must be kept, lest a repeat within the lateness be told as late; warns of fewer."""
+    least = -(-lateness_us // width_us) + 1
+    if keep_windows is not None and keep_windows < least:
+        warnings.warn(f"keys are kept for {keep_windows} windows, which is less than the {least} that the lateness needs", stacklevel=2)
+    return least
 
 
 def misattributed(arrivals: DataFrame, width_us: int) -> DataFrame:
@@ -133,15 +159,80 @@ def disagreement(truth: DataFrame, got: DataFrame) -> DataFrame:
     return truth.join(other, KEYS, "left").agg(F.count(F.lit(1)).alias("windows"), F.count_if(F.coalesce(F.col("n_got") != F.col("n"), F.lit(True))).alias("disagree"))
 
 
+def sweep(marked: DataFrame, width_us: int, bounds_us: Sequence[int], tolerance: float = 1e-3) -> DataFrame:
+    """bound_us, total, wrong, late, abs_count_error for each bound on lateness, from one relation.
+
+    marked: annotate()'s at lateness 0. At lateness L all marks, and so the frontier, are earlier by L; so one aggregation
+    gives the true windows and, by conditional sums, those under each bound.
+    """
+    on_time = {b: ~F.coalesce(F.col("window_us") + width_us <= F.col("frontier_us") - b, F.lit(False)) for b in bounds_us}
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("alt_cm").alias("alt"), F.sum("vel_cm").alias("vel")]
+    for k, b in enumerate(bounds_us):
+        sums += [F.count_if(on_time[b]).alias(f"n{k}"), *[F.sum(F.when(on_time[b], F.col(f"{c}_cm"))).alias(f"{c}{k}") for c in ("alt", "vel")]]
+    per_window = marked.groupBy("window_us", "cell").agg(*sums)
+
+    def off(c: str, k: int) -> Column:
+        t, g = mean_4dp(F.col(c), F.col("n")), mean_4dp(F.col(f"{c}{k}"), F.col(f"n{k}"))
+        return F.abs(t - g) > F.lit(tolerance) * F.greatest(F.abs(t), F.abs(g), F.lit(1.0))
+
+    wrong = lambda k: (F.col(f"n{k}") != F.col("n")) | off("alt", k) | off("vel", k)
+    each = [F.struct(F.lit(b).alias("bound_us"), F.coalesce(wrong(k), F.lit(True)).alias("wrong"), (F.col("n") - F.col(f"n{k}")).alias("error")) for k, b in enumerate(bounds_us)]
+    rows = per_window.select(F.explode(F.array(*each)).alias("x")).select("x.*")
+    # what a window lacks under a bound came late
+    return rows.groupBy("bound_us").agg(F.count(F.lit(1)).alias("total"), F.count_if("wrong").alias("wrong"), F.sum("error").alias("late"), F.sum("error").alias("abs_count_error"))
+
+
+def headline(marked: DataFrame, width_us: int, tolerance: float = 1e-3) -> DataFrame:
+    """One row: events, misattributed, naive_wrong, naive_windows, watermark_wrong, reported, silent. Each first copy counts in
+    the window of its event time (true, and on time or not) and in that of its arrival; one aggregation compares them."""
+    here, there = F.col("window_us"), tumble(F.col("ingest_us"), width_us)
+    side = lambda w, kind: F.struct(w.alias("w"), F.lit(kind).alias("kind"))
+    twice = marked.withColumn("moved", here != there).withColumn("x", F.explode(F.array(side(here, "true"), side(there, "naive"))))
+    is_true, got, naive = F.col("x.kind") == "true", (F.col("x.kind") == "true") & ~F.col("is_late"), F.col("x.kind") == "naive"
+    sums = [F.count_if(is_true & F.col("moved")).alias("moved"), F.count_if(is_true & F.col("is_late")).alias("late")]
+    for name, which in (("t", is_true), ("g", got), ("v", naive)):
+        sums += [F.count_if(which).alias(f"n_{name}"), *[F.sum(F.when(which, F.col(f"{c}_cm"))).alias(f"{c}_{name}") for c in ("alt", "vel")]]
+    rows = twice.groupBy("x.w", "cell").agg(*sums)
+
+    def differs(a: str, b: str) -> Column:
+        mean = lambda c, x: mean_4dp(F.col(f"{c}_{x}"), F.col(f"n_{x}"))
+        off = lambda c: F.abs(mean(c, a) - mean(c, b)) > F.lit(tolerance) * F.greatest(F.abs(mean(c, a)), F.abs(mean(c, b)), F.lit(1.0))
+        return F.coalesce((F.col(f"n_{a}") != F.col(f"n_{b}")) | off("alt") | off("vel"), F.lit(True))
+
+    some = lambda x: F.col(f"n_{x}") > 0
+    out = rows.agg(
+        F.sum("n_t").alias("events"), F.sum("moved").alias("misattributed"), F.count_if((some("t") | some("v")) & differs("t", "v")).alias("naive_wrong"),
+        F.count_if(some("t") | some("v")).alias("naive_windows"), F.count_if((some("t") | some("g")) & differs("t", "g")).alias("watermark_wrong"),
+        F.sum("late").alias("reported"), F.sum(F.abs(F.col("n_t") - F.col("n_g"))).alias("error"),
+    )
+    return out.select("events", "misattributed", "naive_wrong", "naive_windows", "watermark_wrong", "reported", (F.col("error") - F.col("reported")).alias("silent"))
+
+
+def lines(windows: DataFrame) -> DataFrame:
+    """window_us, cell and line, a window's canonical text; no session setting has a say in it."""
+    line = F.concat_ws("|", iso_utc(F.col("window_us")), "cell", F.col("n").cast("string"), F.format_string("%.4f", "avg_altitude"), F.format_string("%.4f", "avg_velocity"))
+    return windows.select("window_us", "cell", line.alias("line"))
+
+
+def _joined(c: Column) -> Column:
+    return F.array_join(F.transform(F.sort_array(F.collect_list(c)), lambda x: x["line"]), "\n")
+
+
 def digest(windows: DataFrame) -> DataFrame:
-    """One row: SHA-256 of all windows in canonical order and how many there are.
+    """One row: SHA-256 of all windows' lines in order of window and cell, joined by newlines, and how many there are.
 
-    Lines are hashed in groups of windows first, so no task holds more than a group's lines or a line a group.
+    Such a hash is sequential, so its text meets in one task: it is for replays whose windows (not events) fit there, which
+    have to agree with digests recorded elsewhere. tree_digest() is for any number of windows.
     """
-    line = F.concat_ws("|", F.date_format(F.timestamp_micros("window_us"), "yyyy-MM-dd'T'HH:mm:ssXXX"), "cell", "n", F.format_string("%.4f", "avg_altitude"), F.format_string("%.4f", "avg_velocity"))
-    joined = lambda c: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(c)), lambda x: x["line"]), "\n"), 256)
-    per_window = windows.groupBy("window_us").agg(joined(F.struct("cell", line.alias("line"))).alias("hash"), F.count(F.lit(1)).alias("n"))
-    return per_window.agg(joined(F.struct("window_us", F.col("hash").alias("line"))).alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("windows"))
+    per_window = lines(windows).groupBy("window_us").agg(_joined(F.struct("cell", "line")).alias("line"), F.count(F.lit(1)).alias("n"))
+    return per_window.agg(F.sha2(_joined(F.struct("window_us", "line")), 256).alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("windows"))
+
+
+def tree_digest(windows: DataFrame) -> DataFrame:
+    """One row: SHA-256 of the hashes of each window's lines in order, and how many lines there are. No task holds more than a
+    window's lines or a hash a window."""
+    per_window = lines(windows).groupBy("window_us").agg(F.sha2(_joined(F.struct("cell", "line")), 256).alias("line"), F.count(F.lit(1)).alias("n"))
+    return per_window.agg(F.sha2(_joined(F.struct("window_us", "line")), 256).alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("windows"))
 
 
 def safe_offsets(log: DataFrame, open_windows: Column) -> DataFrame:

@@ -1,4 +1,4 @@
-"""A flight view over the events table, in integers alone, with disorder and repeats added by rule."""
+"""A flight view over the events table, in integers alone, with disorder, repeats and heights below zero added by rule."""
 
 from __future__ import annotations
 
@@ -20,7 +20,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_us = F.unix_micros(F.col("ts").cast("timestamp"))
     return e.select(
         "event_id", "user_id", F.lower(F.lpad(F.hex((u * 65537) % 16777216), 6, "0")).alias("icao24"), event_us.alias("event_us"),
-        lat.alias("lat_i"), lon.alias("lon_i"), F.concat_ws(":", part(lat), part(lon)).alias("cell"), F.round(F.col("value") * 100).cast("long").alias("alt_cm"),
+        lat.alias("lat_i"), lon.alias("lon_i"), F.concat_ws(":", part(lat), part(lon)).alias("cell"), F.when(i % 9 == 4, -((i * 13) % 501)).otherwise(F.round(F.col("value") * 100).cast("long")).alias("alt_cm"),
         ((u * 131 + i * 17) % 30000).alias("vel_cm"), (event_us + skew.cast("long") * 1_000_000).alias("ingest_us"), (u % 6).alias("src"),
     )
 
@@ -37,7 +37,7 @@ FLIGHTS_SQL = """
     f0 AS (
         SELECT event_id, user_id, lower(lpad(printf('%X', (user_id * 65537) % 16777216), 6, '0')) AS icao24, epoch_us(ts) AS event_us,
                (user_id * 37 + event_id % 7) % 130 - 60 AS lat_i, (user_id * 53 + event_id % 11) % 360 - 180 AS lon_i,
-               CAST(round(value * 100) AS BIGINT) AS alt_cm, (user_id * 131 + event_id * 17) % 30000 AS vel_cm,
+               CASE WHEN event_id % 9 = 4 THEN -((event_id * 13) % 501) ELSE CAST(round(value * 100) AS BIGINT) END AS alt_cm, (user_id * 131 + event_id * 17) % 30000 AS vel_cm,
                CASE WHEN event_id % 10 < 3 THEN (event_id * 7919) % 2700 WHEN event_id % 50 = 9 THEN 7200 + (event_id * 31) % 7200 ELSE 0 END AS skew_s,
                user_id % 6 AS src
         FROM events
@@ -57,7 +57,7 @@ FLIGHTS_SQL = """
 def windows_sql(name: str, rows: str, time: str, where: str = "true") -> str:
     return f""", {name} AS (
         SELECT {time} - {time} % {HOUR_US} AS window_us, cell, count(*) AS n,
-               CAST((2 * 100 * sum(alt_cm) + count(*)) // (2 * count(*)) AS BIGINT) / 10000.0 AS avg_altitude,
+               CAST(sign(sum(alt_cm)) * ((2 * 100 * abs(sum(alt_cm)) + count(*)) // (2 * count(*))) AS BIGINT) / 10000.0 AS avg_altitude,
                CAST((2 * 100 * sum(vel_cm) + count(*)) // (2 * count(*)) AS BIGINT) / 10000.0 AS avg_velocity
         FROM {rows} WHERE {where} GROUP BY ALL
     )"""

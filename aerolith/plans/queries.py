@@ -58,6 +58,17 @@ query(
     ),
 )(lambda s, d: windows.accounting(arrivals(s, d), annotated(s, d)))
 query("w9_first_seen", sql("SELECT event_id, copy FROM firsts"))(lambda s, d: windows.first_copies(arrivals(s, d)).select("event_id", "copy"))
+HORIZON_WINDOWS = 1
+EVERY = ANNOTATED.replace("FROM firsts", "FROM arrivals")
+query(
+    "w9_horizon",
+    sql(
+        f"""SELECT event_id, copy, CASE WHEN nth = 1 THEN CASE WHEN is_late THEN 'late' ELSE 'counted' END
+            WHEN coalesce(window_us < frontier_us - {HORIZON_WINDOWS} * {HOUR_US}, false) THEN 'late' ELSE 'duplicate' END AS outcome
+            FROM (SELECT *, row_number() OVER (PARTITION BY icao24, event_us ORDER BY ingest_us, copy) AS nth FROM annotated)""",
+        EVERY,
+    ),
+)(lambda s, d: windows.outcomes(arrivals(s, d), SOURCES, HOUR_US, LATENESS_US, HORIZON_WINDOWS).select("event_id", "copy", "outcome"))
 query("o5_recent_late", sql("SELECT icao24, event_us, ingest_us FROM annotated WHERE is_late ORDER BY ingest_us DESC, icao24 DESC, event_us DESC LIMIT 20", ANNOTATED))(lambda s, d: windows.recent_late(annotated(s, d), 20).select("icao24", "event_us", "ingest_us"))
 query("w19_skew", sql("SELECT max(event_us) - max(mark_us) AS behind_us, max(ingest_us - event_us) AS most_skew_us FROM annotated", ANNOTATED))(
     lambda s, d: annotated(s, d).agg((F.max("event_us") - F.max("mark_us")).alias("behind_us"), F.max(F.col("ingest_us") - F.col("event_us")).alias("most_skew_us"))
@@ -67,15 +78,13 @@ query("w10_minimum_retention", "SELECT l AS lateness_s, w AS window_s, CAST(ceil
 )
 
 
+SWEEP_MINUTES = (0, 15, 30, 45, 90)
+
+
 def sweep(s, d):
-    """Accuracy at several bounds: one row each, from one annotated relation a bound."""
-    t, out = truth(s, d), None
-    for minutes in (0, 15, 30, 45, 90):
-        a = annotated(s, d, minutes * 60_000_000)
-        row = windows.roll_up(windows.compare(t, windows.on_time_windows(a, HOUR_US))).crossJoin(a.agg(F.count_if("is_late").alias("late")))
-        row = row.select(F.lit(minutes).alias("lateness_min"), "total", "wrong", "late", "abs_count_error")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Accuracy at several bounds: one row each, all from one annotated relation."""
+    rows = windows.sweep(annotated(s, d, 0), HOUR_US, [m * 60_000_000 for m in SWEEP_MINUTES])
+    return rows.select((F.col("bound_us") / 60_000_000).cast("int").alias("lateness_min"), "total", "wrong", "late", "abs_count_error")
 
 
 def _sweep_sql() -> str:
@@ -121,16 +130,6 @@ query("j3_disagreement", sql("SELECT count(*) AS windows, count(*) FILTER (g.n I
 query("p9_misattributed", sql(f"SELECT count(*) AS events, count(*) FILTER (ingest_us - ingest_us % {HOUR_US} <> event_us - event_us % {HOUR_US}) AS misattributed FROM firsts"))(lambda s, d: windows.misattributed(arrivals(s, d), HOUR_US))
 
 
-def headline(s, d):
-    a = annotated(s, d)
-    m = windows.misattributed(arrivals(s, d), HOUR_US)
-    c = windows.roll_up(compared(s, d)).select(F.col("wrong").alias("naive_wrong"), F.col("total").alias("naive_windows"))
-    g = windows.roll_up(windows.compare(truth(s, d), windows.on_time_windows(a, HOUR_US))).select(F.col("wrong").alias("watermark_wrong"), "abs_count_error")
-    late = a.agg(F.count_if("is_late").alias("reported"))
-    one = m.crossJoin(c).crossJoin(g).crossJoin(late)
-    return one.select("events", "misattributed", "naive_wrong", "naive_windows", "watermark_wrong", "reported", (F.col("abs_count_error") - F.col("reported")).alias("silent"))
-
-
 query(
     "r7_headline",
     sql(
@@ -142,7 +141,7 @@ query(
             FROM truth t FULL JOIN got g ON t.window_us = g.window_us AND t.cell = g.cell""",
         TRUTH, NAIVE, COMPARED, ANNOTATED, ON_TIME,
     ),
-)(headline)
+)(lambda s, d: windows.headline(annotated(s, d), HOUR_US))
 
 # projections and predicates
 
@@ -188,7 +187,7 @@ query("p10_keyed_filter", sql("SELECT event_id, icao24 FROM flights WHERE icao24
 )
 query("p12_cell_filter", sql("SELECT event_id, cell FROM flights WHERE cell = '0:0' OR cell = '-1:-1' OR cell = '2:3'"))(lambda s, d: flights(s, d).filter(F.col("cell").isin("0:0", "-1:-1", "2:3")).select("event_id", "cell"))
 query("s2b_box", sql("SELECT event_id FROM flights WHERE lat_i BETWEEN -10 AND 30 AND lon_i BETWEEN -60 AND 45"))(lambda s, d: flights(s, d).filter(fn.in_box(F.col("lat_i"), F.col("lon_i"), fn.parse_box("-10,-60,30,45"))).select("event_id"))
-query("f1_trace_id", sql("SELECT event_id, substr(sha256(icao24 || '|' || strftime(make_timestamp(event_us), '%Y-%m-%dT%H:%M:%S.%f') || 'Z'), 1, 16) AS trace_id FROM flights"))(lambda s, d: flights(s, d).select("event_id", fn.trace_id(F.col("icao24"), F.timestamp_micros("event_us")).alias("trace_id")))
+query("f1_trace_id", sql("SELECT event_id, substr(sha256(icao24 || '|' || strftime(make_timestamp(event_us), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'), 1, 16) AS trace_id FROM flights"))(lambda s, d: flights(s, d).select("event_id", fn.trace_id(F.col("icao24"), F.timestamp_micros("event_us")).alias("trace_id")))
 
 # log and store
 
@@ -202,18 +201,16 @@ def log(s, d):
 
 query("k1_log", sql('SELECT event_id, copy, part AS "partition", off AS "offset" FROM log', LOG))(lambda s, d: log(s, d).select("event_id", "copy", "partition", "offset"))
 query("s8_partition_stats", sql('SELECT part AS "partition", min(off) AS begin_offset, max(off) + 1 AS end_offset, count(*) AS messages FROM log GROUP BY 1', LOG))(lambda s, d: store.partition_stats(log(s, d)))
-query("s5_sealed_read", sql('SELECT part AS "partition", count(*) AS messages, CAST(sum(event_id) AS BIGINT) AS ids FROM log WHERE off < 1000 GROUP BY 1', LOG))(
-    # sealed at the real ends, so a gap anywhere raises; the offsets below 1000 are what the SQL asks for
-    lambda s, d: store.sealed(log(s, d), store.partition_stats(log(s, d)).select("partition", "begin_offset", "end_offset")).filter("offset < 1000").groupBy("partition").agg(F.count(F.lit(1)).alias("messages"), F.sum("event_id").alias("ids"))
+query("s5_sealed_read", sql('SELECT part AS "partition", count(*) AS messages, CAST(sum(event_id) AS BIGINT) AS ids FROM log GROUP BY 1', LOG))(
+    lambda s, d: store.sealed(log(s, d), store.partition_stats(log(s, d)).select("partition", "begin_offset", "end_offset")).groupBy("partition").agg(F.count(F.lit(1)).alias("messages"), F.sum("event_id").alias("ids"))
 )
 query("p11_offset_range", sql('SELECT event_id, copy FROM log WHERE off >= 100 AND off < 400', LOG))(lambda s, d: log(s, d).filter("offset >= 100 and offset < 400").select("event_id", "copy"))
 OPEN_FROM = "(SELECT max(event_us) - 86400000000 FROM arrivals)"
 query("w16_safe_offsets", sql(f'SELECT part AS "partition", least(max(off) + 1, min(off) FILTER (event_us - event_us % {HOUR_US} + {HOUR_US} > {OPEN_FROM})) AS safe FROM log GROUP BY 1', LOG))(
     lambda s, d: windows.safe_offsets(log(s, d).crossJoin(arrivals(s, d).agg((F.max("event_us") - 86_400_000_000).alias("frontier"))), fn.tumble(F.col("event_us"), HOUR_US) + HOUR_US > F.col("frontier"))
 )
-query("s4_arrival_order", sql("SELECT event_id, copy, row_number() OVER (ORDER BY ingest_us, icao24, event_us, copy) AS \"at\" FROM arrivals QUALIFY \"at\" <= 500"))(
-    # all arrivals are numbered; the first 500 are what the SQL asks for
-    lambda s, d: store.arrival_order(arrivals(s, d), list(windows.ORDER)).filter("at <= 500").select("event_id", "copy", "at")
+query("s4_arrival_order", sql("SELECT event_id, copy, row_number() OVER (ORDER BY ingest_us, icao24, event_us, copy) AS \"at\" FROM arrivals"))(
+    lambda s, d: store.arrival_order(arrivals(s, d), list(windows.ORDER)).select("event_id", "copy", "at")
 )
 query("k3_first_wins", sql("SELECT event_id, copy, ingest_us FROM firsts"))(lambda s, d: store.first_wins(arrivals(s, d), list(windows.KEY), list(windows.ORDER)).select("event_id", "copy", "ingest_us"))
 query("k2_upsert_new_rows", sql("SELECT event_id FROM firsts WHERE event_id NOT IN (SELECT event_id FROM flights WHERE event_id % 3 = 0)"))(
@@ -242,9 +239,6 @@ query("k9_late_total", sql("SELECT src, count(*) AS late FROM annotated WHERE is
 query("k10_retention", sql("SELECT event_id FROM flights WHERE event_us // 86400000000 >= (SELECT max(event_us) // 86400000000 - 7 FROM flights)"))(
     lambda s, d: store.retained(flights(s, d).crossJoin(flights(s, d).agg(F.max("event_us").alias("now_us"))), F.col("now_us"), 7).select("event_id")
 )
-query("k11_scoped_delete", sql("SELECT count(*) AS rows, count(*) FILTER (user_id % 5 = 2) AS removed, count(*) FILTER (user_id % 5 <> 2) AS left_over FROM flights"))(
-    lambda s, d: flights(s, d).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("user_id") % 5 == 2).alias("removed"), F.count_if(F.col("user_id") % 5 != 2).alias("left_over"))
-)
 COMMITTED = ", committed AS (SELECT part, max(off) // 2 AS committed FROM log WHERE part <> 4 GROUP BY part), ends AS (SELECT part, max(off) + 1 AS end_offset FROM log GROUP BY part)"
 
 
@@ -343,15 +337,42 @@ GROW = "t_stat >= 4.6 AND slope > 5 AND lag >= 200"
 query("c3_flags", sql(f"SELECT run, \"at\", coalesce({GROW}, false) AS growing, lag < 100 AS quiet, coalesce(t_stat >= 4.6 AND slope < -5, false) OR (lag < 100 AND NOT coalesce({GROW}, false)) AS draining FROM trend", SAMPLES, TREND))(
     lambda s, d: control.flags(control.trend(samples(s, d))).select("run", "at", "growing", "quiet", "draining")
 )
-query("c1_controller")(lambda s, d: control.decide(samples(s, d)))
+STEPS = f""", fl AS (
+        SELECT run, "at", lag, slope, t_stat, coalesce({GROW}, false) AS growing, lag < 100 AS quiet,
+               coalesce(t_stat >= 4.6 AND slope < -5, false) OR (lag < 100 AND NOT coalesce({GROW}, false)) AS draining, row_number() OVER (PARTITION BY run ORDER BY "at") AS i
+        FROM trend
+    ), steps AS (
+        SELECT DISTINCT run, CAST(0 AS BIGINT) AS i, 0 AS growth, 0 AS drain, 0 AS stuck, CAST(1 AS BIGINT) AS workers, false AS shedding, CAST(NULL AS DOUBLE) AS acted, 'hold' AS action FROM samples
+        UNION ALL
+        SELECT run, i, growth, drain, stuck, workers + CASE action WHEN 'scale_up' THEN 1 WHEN 'scale_down' THEN -1 ELSE 0 END,
+               CASE action WHEN 'shed' THEN true WHEN 'unshed' THEN false ELSE shedding END, CASE WHEN action <> 'hold' THEN "at" ELSE acted END, action
+        FROM (
+            SELECT *, CASE WHEN i < 3 THEN 'hold' WHEN stuck >= 3 AND NOT shedding THEN 'shed' WHEN shedding AND drain >= 3 THEN 'unshed'
+                           WHEN acted IS NOT NULL AND "at" - acted < 10 THEN 'hold' WHEN growth >= 2 AND workers < 4 THEN 'scale_up'
+                           WHEN drain >= 2 AND quiet AND NOT growing AND NOT shedding AND workers > 1 THEN 'scale_down' ELSE 'hold' END AS action
+            FROM (
+                SELECT f.run, f.i, f."at", f.growing, f.quiet, s.workers, s.shedding, s.acted,
+                       CASE WHEN f.i >= 3 AND f.growing THEN s.growth + 1 ELSE 0 END AS growth, CASE WHEN f.i >= 3 AND f.draining THEN s.drain + 1 ELSE 0 END AS drain,
+                       CASE WHEN f.i >= 3 AND f.growing AND s.workers >= 4 THEN s.stuck + 1 ELSE 0 END AS stuck
+                FROM steps s JOIN fl f ON f.run = s.run AND f.i = s.i + 1)))"""
+recursive = lambda text: text.replace("WITH ", "WITH RECURSIVE ", 1)
+DECIDED = "SELECT {} FROM steps s JOIN fl f ON f.run = s.run AND f.i = s.i"
+query("c1_controller", recursive(sql(DECIDED.format('f.run, f."at", f.lag, round(f.slope, 4) AS slope, round(f.t_stat, 4) AS t_stat, s.action, s.workers, s.shedding'), SAMPLES, TREND, STEPS)))(
+    lambda s, d: control.decide(samples(s, d)).select("run", "at", "lag", rounded("slope"), rounded("t_stat"), "action", "workers", "shedding")
+)
 query("a14_peak_final", sql("SELECT run, max(lag) AS peak, arg_max(lag, \"at\") AS final FROM samples GROUP BY run", SAMPLES))(lambda s, d: samples(s, d).groupBy("run").agg(F.max("lag").alias("peak"), F.max_by("lag", "at").alias("final")))
 query(
     "n5_stabilise",
     sql("SELECT run, min(\"at\") FILTER (calm = 3) AS stable_at FROM (SELECT run, \"at\", count(*) FILTER (lag <= 1500) OVER (PARTITION BY run ORDER BY \"at\" ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS calm FROM samples) GROUP BY run", SAMPLES),
 )(lambda s, d: control.stabilised(samples(s, d), 1500))
-query("n6_actions_before", sql("SELECT run, count(*) FILTER (lag > 2000) AS actions FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY \"at\") AS i FROM samples) WHERE i < 20 GROUP BY run", SAMPLES))(
-    lambda s, d: samples(s, d).withColumn("i", F.row_number().over(Window.partitionBy("run").orderBy("at"))).filter("i < 20").groupBy("run").agg(F.count_if(F.col("lag") > 2000).alias("actions"))
+query("n6_actions_before", recursive(sql("SELECT run, count(*) FILTER (action <> 'hold' AND i <= 20) AS actions FROM steps WHERE i > 0 GROUP BY run", SAMPLES, TREND, STEPS)))(
+    lambda s, d: control.actions_before(control.decide(samples(s, d)), 20)
 )
+query(
+    "n5_stabilise_from",
+    sql("""SELECT run, (min(i) FILTER (calm = 3 AND i > 30) - 31) * 2.0 AS seconds FROM (
+             SELECT run, row_number() OVER w AS i, count(*) FILTER (lag <= 1500) OVER (w ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS calm FROM samples WINDOW w AS (PARTITION BY run ORDER BY "at")) GROUP BY run""", SAMPLES),
+)(lambda s, d: control.time_to_stabilise(samples(s, d), 1500, 30, 2.0))
 query("n4_runs", sql("SELECT run, \"at\", lag, CASE WHEN lag > 1000 THEN row_number() OVER (PARTITION BY run, island ORDER BY \"at\") - CASE WHEN island > 0 THEN 1 ELSE 0 END ELSE 0 END AS streak FROM (SELECT *, sum(CASE WHEN lag > 1000 THEN 0 ELSE 1 END) OVER (PARTITION BY run ORDER BY \"at\") AS island FROM samples)", SAMPLES))(
     lambda s, d: (lambda x: x.select("run", "at", "lag", F.when(F.col("lag") > 1000, F.row_number().over(Window.partitionBy("run", "island").orderBy("at")) - F.when(F.col("island") > 0, 1).otherwise(0)).otherwise(0).cast("long").alias("streak")))(
         samples(s, d).withColumn("island", F.sum(F.when(F.col("lag") > 1000, 0).otherwise(1)).over(Window.partitionBy("run").orderBy("at")))
@@ -360,7 +381,15 @@ query("n4_runs", sql("SELECT run, \"at\", lag, CASE WHEN lag > 1000 THEN row_num
 query("c10_grid", "SELECT aircraft, burst, cap, workers, aircraft * burst / CAST(cap * workers AS DOUBLE) AS ratio FROM (VALUES (60), (120)) a(aircraft), (VALUES (6), (12)) b(burst), (VALUES (250)) c(cap), (VALUES (1), (2), (4)) w(workers)")(
     lambda s, d: s.createDataFrame([(x,) for x in (60, 120)], "aircraft int").crossJoin(s.createDataFrame([(x,) for x in (6, 12)], "burst int")).crossJoin(s.createDataFrame([(1,), (2,), (4,)], "workers int")).withColumn("cap", F.lit(250)).withColumn("ratio", F.col("aircraft") * F.col("burst") / (F.col("cap") * F.col("workers")).cast("double"))
 )
-query("c8_token_bucket")(lambda s, d: control.token_bucket(arrivals(s, d).select(F.col("src").alias("client"), (F.col("ingest_us") / 1e6).alias("at"), (F.col("event_id") * 2 + F.col("copy")).alias("seq")), 0.001, 5.0))
+BUCKETED = """, asked AS (
+        SELECT src AS client, ingest_us / 1e6 AS "at", event_id * 2 + copy AS seq, row_number() OVER (PARTITION BY src ORDER BY ingest_us / 1e6, event_id * 2 + copy) AS i FROM arrivals
+    ), refilled AS (
+        SELECT client, "at", seq, i, CAST(4.0 AS DOUBLE) AS tokens, true AS allowed FROM asked WHERE i = 1
+        UNION ALL
+        SELECT client, "at", seq, i, tokens - CASE WHEN tokens >= 1 - 1e-9 THEN 1 ELSE 0 END, tokens >= 1 - 1e-9
+        FROM (SELECT a.client, a."at", a.seq, a.i, CASE WHEN a."at" > r."at" THEN least(CAST(5.0 AS DOUBLE), r.tokens + (a."at" - r."at") * CAST(0.001 AS DOUBLE)) ELSE r.tokens END AS tokens
+              FROM refilled r JOIN asked a ON a.client = r.client AND a.i = r.i + 1))"""
+query("c8_token_bucket", recursive(sql('SELECT client, "at", seq, allowed FROM refilled', BUCKETED)))(lambda s, d: control.token_bucket(arrivals(s, d).select(F.col("src").alias("client"), (F.col("ingest_us") / 1e6).alias("at"), (F.col("event_id") * 2 + F.col("copy")).alias("seq")), 0.001, 5.0))
 
 # analytic functions, order and sets
 
@@ -378,12 +407,22 @@ query("u4_concat", sql("SELECT src, count(*) AS n FROM arrivals GROUP BY src"))(
 
 # reports
 
-HASHED = """, lines AS (SELECT window_us, cell, strftime(make_timestamp(window_us), '%Y-%m-%dT%H:%M:%SZ') || '|' || cell || '|' || n || '|' || printf('%.4f', avg_altitude) || '|' || printf('%.4f', avg_velocity) AS line FROM got),
-    hashed AS (SELECT window_us, sha256(string_agg(line, chr(10) ORDER BY cell)) AS hash, count(*) AS n FROM lines GROUP BY window_us)"""
-query("r4_digest", sql("SELECT sha256(string_agg(hash, chr(10) ORDER BY window_us)) AS digest, CAST(sum(n) AS BIGINT) AS windows FROM hashed", ANNOTATED, ON_TIME, HASHED))(lambda s, d: windows.digest(windows.on_time_windows(annotated(s, d), HOUR_US)))
-query("r3_replay", ORACLES["r4_digest"])(
-    lambda s, d: (lambda l: windows.digest(windows.on_time_windows(windows.annotate(store.sealed(l, store.partition_stats(l).select("partition", "begin_offset", "end_offset")), SOURCES, HOUR_US, LATENESS_US), HOUR_US)))(log(s, d))
+LINES = """, lines AS (SELECT window_us, cell, strftime(make_timestamp(window_us), '%Y-%m-%dT%H:%M:%S+00:00') || '|' || cell || '|' || n || '|' || printf('%.4f', avg_altitude) || '|' || printf('%.4f', avg_velocity) AS line FROM got)"""
+HASHED = """, hashed AS (SELECT window_us, sha256(string_agg(line, chr(10) ORDER BY cell)) AS hash, count(*) AS n FROM lines GROUP BY window_us)"""
+query("r4_digest", sql("SELECT sha256(string_agg(line, chr(10) ORDER BY window_us, cell)) AS digest, count(*) AS windows FROM lines", ANNOTATED, ON_TIME, LINES))(
+    lambda s, d: windows.digest(windows.on_time_windows(annotated(s, d), HOUR_US))
+)
+query("r4_tree_digest", sql("SELECT sha256(string_agg(hash, chr(10) ORDER BY window_us)) AS digest, CAST(sum(n) AS BIGINT) AS windows FROM hashed", ANNOTATED, ON_TIME, LINES, HASHED))(
+    lambda s, d: windows.tree_digest(windows.on_time_windows(annotated(s, d), HOUR_US))
 )
+
+
+def replayed(log_, sources=SOURCES, width_us=HOUR_US, lateness_us=LATENESS_US):
+    read = store.sealed(log_, store.partition_stats(log_).select("partition", "begin_offset", "end_offset"))
+    return windows.digest(windows.on_time_windows(windows.annotate(read, sources, width_us, lateness_us), width_us))
+
+
+query("r3_replay", ORACLES["r4_digest"])(lambda s, d: replayed(log(s, d)))
 query("r1_reconcile", sql("SELECT (SELECT count(*) FROM log) AS messages, (SELECT count(*) FROM firsts) AS stored, (SELECT count(*) FROM log) - (SELECT count(*) FROM firsts) AS suppressed, true AS balanced", LOG))(
     lambda s, d: log(s, d).agg(F.count(F.lit(1)).alias("messages")).crossJoin(windows.first_copies(arrivals(s, d)).agg(F.count(F.lit(1)).alias("stored")))
     .crossJoin(arrivals(s, d).withColumn("_n", F.row_number().over(Window.partitionBy(*windows.KEY).orderBy(*windows.ORDER))).agg(F.count_if(F.col("_n") > 1).alias("suppressed"))).withColumn("balanced", F.col("messages") == F.col("stored") + F.col("suppressed"))
@@ -399,6 +438,9 @@ query(
     lambda s, d: store.inversions(arrivals(s, d)).crossJoin(store.percentiles(arrivals(s, d), F.floor((F.col("ingest_us") - F.col("event_us")) / 1_000_000).cast("double")).select("p50", "p95", "p99", "maximum"))
     .crossJoin(arrivals(s, d).agg(F.count_if(F.floor((F.col("ingest_us") - F.col("event_us")) / 1_000_000) > 1800).alias("beyond")))
 )
-query("r8_arm", sql("SELECT run, max(lag) AS peak, arg_max(lag, \"at\") AS final, count(*) FILTER (lag > 2000) AS high, round(100.0 * count(*) FILTER (lag <= 1000) / count(*), 4) AS calm_percent FROM samples GROUP BY run", SAMPLES))(
-    lambda s, d: samples(s, d).groupBy("run").agg(F.max("lag").alias("peak"), F.max_by("lag", "at").alias("final"), F.count_if(F.col("lag") > 2000).alias("high"), F.round(F.count_if(F.col("lag") <= 1000) * 100.0 / F.count(F.lit(1)), 4).alias("calm_percent"))
-)
+query(
+    "r8_arm",
+    sql("""SELECT run, max(lag) AS peak_lag, arg_max(lag, "at") AS final_lag, count(*) * 500 AS published, count(*) * 500 - arg_max(lag, "at") AS stored, arg_max(lag, "at") AS undrained,
+             round(100.0 * (count(*) * 500 - arg_max(lag, "at")) / (count(*) * 500), 4) AS absorbed_pct, (min(i) FILTER (calm = 3 AND i > 30) - 31) * 2.0 AS stabilise_s
+           FROM (SELECT *, row_number() OVER w AS i, count(*) FILTER (lag <= 1500) OVER (w ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS calm FROM samples WINDOW w AS (PARTITION BY run ORDER BY "at")) GROUP BY run""", SAMPLES),
+)(lambda s, d: control.analyse(samples(s, d).withColumn("published", F.lit(500)), 1500, 30, 2.0))

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from aerolith.config import Settings
+from aerolith.functions import telemetry as fn
 from aerolith.operators import store, windows
-from aerolith.plans.flights import HOUR_US, LATENESS_US, arrivals, flights, sql
-from aerolith.plans.queries import ANNOTATED, query
-from aerolith.sources import positional, synthetic
-from aerolith.streaming import exact, native
+from aerolith.plans.flights import HOUR_US, LATENESS_US, SOURCES, arrivals, flights, sql
+from aerolith.plans.queries import ANNOTATED, ORACLES, query, replayed
+from aerolith.sources import filelog, positional, synthetic
+from aerolith.streaming import exact, native, service
 
 #: More than the flight view's worst disorder, so the engine's watermark drops nothing.
 COVERING_US = 5 * HOUR_US
@@ -20,18 +23,25 @@ SLICES = 4
 
 
 def _work_dir(spark: SparkSession) -> str:
-    """A new folder in the shared one that the cluster names, else in a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="aerolith-")
+    """A new folder in the shared one that the cluster names; a temporary one on one machine, where none is named."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="aerolith-")
     return f"{root}/streams-{uuid.uuid4().hex}"
 
 
 def _as_stream(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
-    """rows by arrival as files that come one a micro-batch, in slices of equal time."""
-    ends = rows.agg(F.min("ingest_us").alias("low"), F.max("ingest_us").alias("high")).first()
-    step = (ends["high"] - ends["low"]) // SLICES + 1
-    for k in range(SLICES):
-        at = F.col("ingest_us") - ends["low"]
-        rows.filter((at >= k * step) & (at < (k + 1) * step)).coalesce(1).write.mode("append").parquet(path)
+    """rows by arrival as files that come one a micro-batch: dealt out by ranges of time in one pass. A file source takes files
+    by their age, so they are given ages in the order of their ranges."""
+    rows.repartitionByRange(SLICES, "ingest_us").sortWithinPartitions("ingest_us").write.parquet(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = sorted((x.getPath() for x in files.listStatus(at) if x.getPath().getName().startswith("part-")), key=lambda x: x.getName())
+    for k, part in enumerate(parts):
+        files.setTimes(part, 1_000_000_000_000 + 1000 * k, -1)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
@@ -40,25 +50,52 @@ def native_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = _work_dir(spark)
     rows = arrivals(spark, sf_dir).select("icao24", "event_us", "ingest_us", "cell", "alt_cm", "vel_cm")
     stream = _as_stream(spark, rows, f"{work}/in")
-    native.run_to_end(native.streaming_windows([stream], HOUR_US, COVERING_US), native.append_new(f"{work}/out", ["window_us", "cell"]), f"{work}/checkpoint")
-    return spark.read.parquet(f"{work}/out")
+    native.run_to_end(native.streaming_windows([stream], HOUR_US, COVERING_US), service.window_sink(f"{work}/out"), f"{work}/checkpoint")
+    return spark.read.parquet(f"{work}/out").drop("batch")
 
 
-@query("w4x_stream", sql(f"SELECT event_us - event_us % {HOUR_US} AS window_us, cell, count(*) AS n, CAST(sum(alt_cm) AS BIGINT) AS alt, CAST(sum(vel_cm) AS BIGINT) AS vel FROM annotated WHERE NOT is_late GROUP BY 1, 2", ANNOTATED))
-def exact_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = _work_dir(spark)
-    rows = arrivals(spark, sf_dir).select(F.lit(0).cast("long").alias("pipeline"), "icao24", "event_us", "ingest_us", "cell", "alt_cm", "vel_cm", "src", "copy")
-    end = rows.agg(F.max("ingest_us").alias("ingest_us")).select(F.lit(0).cast("long").alias("pipeline"), F.lit("").alias("icao24"), F.lit(0).cast("long").alias("event_us"), (F.col("ingest_us") + 1).alias("ingest_us"), F.lit("").alias("cell"), F.lit(0).cast("long").alias("alt_cm"), F.lit(0).cast("long").alias("vel_cm"), F.lit(0).cast("long").alias("src"), F.lit(0).alias("copy"))
-    stream = _as_stream(spark, rows.unionByName(end), f"{work}/in")
-    key, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+@contextmanager
+def _rocks(spark: SparkSession):
+    """The state store that the exact stream needs."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
     spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        native.run_to_end(exact.exact_windows(stream, HOUR_US, LATENESS_US), lambda batch, _: batch.write.mode("append").parquet(f"{work}/out"), f"{work}/checkpoint")
+        yield
     finally:
         spark.conf.set(key, before)
+
+
+def _bounded(spark: SparkSession, sf_dir: str, work: str) -> DataFrame:
+    """All arrivals as the stream of one pipeline, with the row that ends it."""
+    rows = arrivals(spark, sf_dir).select(F.lit(0).cast("long").alias("pipeline"), "icao24", "event_us", "ingest_us", "cell", "alt_cm", "vel_cm", "src", "copy")
+    none = {"icao24": F.lit(""), "event_us": F.lit(0).cast("long"), "cell": F.lit(""), "alt_cm": F.lit(0).cast("long"), "vel_cm": F.lit(0).cast("long"), "src": F.lit(0).cast("long"), "copy": F.lit(0), "pipeline": F.lit(0).cast("long")}
+    end = rows.agg((F.max("ingest_us") + 1).alias("ingest_us")).withColumns(none).select(*rows.columns)
+    return _as_stream(spark, rows.unionByName(end), f"{work}/in")
+
+
+EXACT_SQL = sql(f"SELECT event_us - event_us % {HOUR_US} AS window_us, cell, count(*) AS n, CAST(sum(alt_cm) AS BIGINT) AS alt, CAST(sum(vel_cm) AS BIGINT) AS vel FROM annotated WHERE NOT is_late GROUP BY 1, 2", ANNOTATED)
+
+
+@query("w4x_stream", EXACT_SQL)
+def exact_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = _work_dir(spark)
+    with _rocks(spark):
+        native.run_to_end(exact.exact_windows(_bounded(spark, sf_dir, work), HOUR_US, LATENESS_US), lambda batch, n: batch.write.mode("overwrite").parquet(f"{work}/out/batch={n}"), f"{work}/checkpoint")
     return spark.read.parquet(f"{work}/out").filter("kind <> 'late'").select("window_us", "cell", "n", "alt", "vel")
 
 
+@query("w12_idle_sources")
+def idle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact stream with sources that count as idle after six hours without a row, by the time of arrival, and that are
+    all awaited at the start: how its rows ended."""
+    work = _work_dir(spark)
+    with _rocks(spark):
+        stream = exact.exact_windows(_bounded(spark, sf_dir, work), HOUR_US, LATENESS_US, idle_after_us=6 * HOUR_US, awaited=SOURCES)
+        native.run_to_end(stream, lambda batch, n: batch.write.mode("overwrite").parquet(f"{work}/out/batch={n}"), f"{work}/checkpoint")
+    return spark.read.parquet(f"{work}/out").groupBy("kind").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("events"))
+
+
 @query("s1_generator", "SELECT 20 AS aircraft, true AS in_bounds, true AS near_rates")
 def generator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bounds of the generated states, and that rates of disorder are within a tenth of what was asked for."""
@@ -115,11 +152,93 @@ def poll_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positional.poll_counts(positional.parse_states(_vectors(spark, sf_dir))).select("fetched", "emitted", "skipped", "malformed")
 
 
-@query("r5_recorded_replay")
+@query("r5_recorded_replay", ORACLES["r4_digest"])
 def recorded_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A recording: arrivals published as messages of a log on files, read back, decoded, checked to be whole, and replayed."""
+    work = _work_dir(spark)
+    names = ["icao24", "event_us", "ingest_us", "cell", "src", "alt_cm", "vel_cm", "copy"]
+    filelog.publish(store.to_log(arrivals(spark, sf_dir).select(*names), "cell", 6, list(windows.ORDER)), work, "flights")
+    log, dead = filelog.decode(filelog.read(spark, work, "flights"), "icao24 string, event_us long, ingest_us long, cell string, src long, alt_cm long, vel_cm long, copy int")
+    return replayed(log)
+
+
+@query("r5_fleet_replay")
+def fleet_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A recorded fleet, logged, read sealed, windowed and digested."""
     chaos = synthetic.Chaos(out_of_order=0.25, max_skew_s=15, duplicates=0.05, late=0.02, late_s=120, drops=0.01)
     rows = synthetic.fleet(spark, 30, 300, 99, chaos)
-    log = store.to_log(rows, "cell", 6, list(windows.ORDER))
-    read = store.sealed(log, store.partition_stats(log).select("partition", "begin_offset", "end_offset"))
-    return windows.digest(windows.on_time_windows(windows.annotate(read, tuple(range(6)), 60_000_000, 30_000_000), 60_000_000))
+    return replayed(store.to_log(rows, "cell", 6, list(windows.ORDER)), tuple(range(6)), 60_000_000, 30_000_000)
+
+
+@query("r6_levels")
+def levels(spark: SparkSession, sf_dir: str, aircraft: int = 50, ticks: int = 1800, seed: int = 20260827) -> DataFrame:
+    """The disorder sweep: six levels of a fleet, each under the baseline and all its bounds, whose sources count as one."""
+    out, width = None, 60_000_000
+    for level in synthetic.LEVELS:
+        rows = synthetic.fleet(spark, aircraft, ticks, seed, level.chaos).withColumn("src", F.lit(0))
+        marked = windows.annotate(rows, (0,), width, 0)
+        head = windows.headline(marked, width).select("events", "misattributed", "naive_wrong", "naive_windows")
+        told = windows.sweep(marked, width, [round(b * 1e6) for b in level.bounds_s]).crossJoin(F.broadcast(head))
+        told = told.select(F.lit(level.name).alias("level"), (F.col("bound_us") / 1e6).alias("bound_s"), "events", "misattributed", "naive_wrong", "naive_windows", "total", "wrong", "late", (F.col("abs_count_error") - F.col("late")).alias("silent"))
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
+@query("k11_scoped_delete", sql("SELECT count(*) AS rows, count(*) FILTER (user_id % 5 = 2) AS removed, count(*) FILTER (user_id % 5 <> 2) AS left_over, CAST(0 AS BIGINT) AS truncated FROM flights"))
+def scoped_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of which the rows of some keys are deleted, and then all."""
+    path = f"{_work_dir(spark)}/table"
+    store.save_days(flights(spark, sf_dir).select("event_id", "user_id", "event_us"), path)
+    rows = spark.read.parquet(path).count()
+    removed = store.delete_where(spark, path, F.col("user_id") % 5 == 2)
+    left = spark.read.parquet(path).count()
+    store.truncate(spark, path)
+    return spark.createDataFrame([(rows, removed, left, spark.read.parquet(path).count())], "rows long, removed long, left_over long, truncated long")
+
+
+@query("k10_drop_days", sql("SELECT event_id FROM flights WHERE event_us // 86400000000 >= (SELECT max(event_us) // 86400000000 - 7 FROM flights)"))
+def dropped_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table by day after retention has dropped the folders of days that it doesn't keep."""
+    path = f"{_work_dir(spark)}/table"
+    rows = flights(spark, sf_dir).select("event_id", "event_us")
+    store.save_days(rows, path)
+    first = rows.agg(F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), (F.floor(F.max("event_us") / store.DAY_US) - 7).cast("int")), "yyyy-MM-dd").alias("day")).first()["day"]
+    store.drop_days(spark, path, first)
+    return spark.read.parquet(path).select("event_id")
+
+
+@query(
+    "w20_service",
+    sql(f"""SELECT event_us - event_us % {HOUR_US} AS window_us, cell, count(*) AS n, CAST(sum(alt_cm) AS BIGINT) AS alt, CAST(sum(vel_cm) AS BIGINT) AS vel, event_us - event_us % {HOUR_US} + {HOUR_US} <= (SELECT greatest(max(frontier_us), max(mark_us)) FROM annotated) AS published
+            FROM annotated WHERE NOT is_late GROUP BY 1, 2""", ANNOTATED),
+)
+def live_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live service over all arrivals: windows that it has published, and those that its end showed as a preview."""
+    work = _work_dir(spark)
+    settings = Settings(window_s=HOUR_US // 1_000_000, allowed_lateness_s=LATENESS_US / 1e6)
+    with _rocks(spark):
+        service.serve(_bounded(spark, sf_dir, work), f"{work}/service", settings).trigger(availableNow=True).start().awaitTermination()
+    shown = spark.read.schema("window_us long, cell string, n long, alt long, vel long").parquet(f"{work}/service/preview/batch=*")
+    return service.read_windows(spark, f"{work}/service").withColumn("published", F.lit(True)).unionByName(shown.withColumn("published", F.lit(False)))
+
+
+@query("i1_accounting", sql("""SELECT count(*) AS fetched, count(*) FILTER (outcome = 'emitted') AS published, count(*) FILTER (outcome = 'malformed') AS failed, count(*) FILTER (outcome = 'skipped') AS skipped, true AS fetch_balanced,
+           count(*) FILTER (stored) AS inserted, count(*) FILTER (outcome = 'emitted' AND kept AND NOT stored) AS suppressed, count(*) FILTER (outcome = 'emitted' AND NOT kept) AS shed, CAST(0 AS BIGINT) AS quarantined, true AS store_balanced
+    FROM (SELECT *, outcome = 'emitted' AND kept AND row_number() OVER (PARTITION BY outcome = 'emitted' AND kept, icao24, event_us // 1000000 ORDER BY event_id) = 1 AS stored
+          FROM (SELECT *, NOT (CAST('0x' || substr(md5(cell), 1, 4) AS BIGINT) / 65535.0 < 0.25) AS kept,
+                CASE WHEN event_id % 41 = 0 THEN 'malformed' WHEN event_id % 29 = 0 THEN 'skipped' WHEN event_id % 31 = 0 THEN 'malformed' ELSE 'emitted' END AS outcome FROM flights))"""))
+def accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each fetched vector went: every one is published, failed or skipped, and every one published is inserted,
+    suppressed as a repeat, shed with its cell, or quarantined by the contract."""
+    parsed = positional.parse_states(_vectors(spark, sf_dir)).withColumn("cell", fn.grid_cell(F.col("lat"), F.col("lon")))
+    stated = parsed.withColumns({"event_time": F.timestamp_micros("event_us"), "ingest_time": F.timestamp_micros("event_us")})
+    emitted = F.col("outcome") == "emitted"
+    stated = stated.withColumn("kept", emitted & fn.kept_when_shedding(F.col("cell"), 0.25)).withColumn("sound", F.size(fn.violations()) == 0)
+    nth = F.row_number().over(Window.partitionBy(F.col("kept") & F.col("sound"), "icao24", "event_us").orderBy("event_id"))
+    stored = F.col("kept") & F.col("sound")
+    one = stated.withColumn("nth", nth).agg(
+        F.count(F.lit(1)).alias("fetched"), F.count_if(emitted).alias("published"), F.count_if(F.col("outcome") == "malformed").alias("failed"), F.count_if(F.col("outcome") == "skipped").alias("skipped"),
+        F.count_if(stored & (F.col("nth") == 1)).alias("inserted"), F.count_if(stored & (F.col("nth") > 1)).alias("suppressed"), F.count_if(emitted & ~F.col("kept")).alias("shed"), F.count_if(F.col("kept") & ~F.col("sound")).alias("quarantined"),
+    )
+    total = lambda *names: sum((F.col(n) for n in names[1:]), F.col(names[0]))
+    return one.withColumn("fetch_balanced", F.col("fetched") == total("published", "failed", "skipped")).withColumn("store_balanced", F.col("published") == total("inserted", "suppressed", "shed", "quarantined"))

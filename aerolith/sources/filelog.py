@@ -20,8 +20,16 @@ def read(spark: SparkSession, path: str, topic: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(f"{path}/{topic}")
 
 
-def subscribe(spark: SparkSession, path: str, topic: str, files_a_batch: int = 8) -> DataFrame:
-    return spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_a_batch).parquet(f"{path}/{topic}")
+def subscribe(spark: SparkSession, path: str, topic: str, files_a_batch: int = 8, starting: str = "earliest") -> DataFrame:
+    """The log as a stream, from its beginning, or, starting at `latest`, from where its partitions end now."""
+    stream = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_a_batch).parquet(f"{path}/{topic}")
+    if starting == "earliest":
+        return stream
+    if starting != "latest":
+        raise ValueError(f"no start named {starting}")
+    ends = read(spark, path, topic).groupBy("partition").agg((F.max("offset") + 1).alias("_end")).collect()  # a row a partition of the log
+    begin = spark.createDataFrame([(r["partition"], r["_end"]) for r in ends], "partition long, _end long")
+    return stream.join(F.broadcast(begin), "partition", "left").filter("offset >= coalesce(_end, 0)").select(*LOG_SCHEMA.names)
 
 
 def decode(log: DataFrame, schema: str | T.StructType) -> tuple[DataFrame, DataFrame]:

@@ -61,3 +61,43 @@ def fleet(spark: SparkSession, aircraft: int, ticks: int, seed: int = 1, chaos:
     )
 
 
+def fleet_stream(spark: SparkSession, aircraft: int, seed: int = 1, ticks_a_batch: int = 1, tick_s: float = 1.0, start_us: int = 1_767_225_600_000_000) -> DataFrame:
+    """The fleet as a stream, ticks_a_batch ticks of all aircraft a micro-batch, each of which is told when it happened; paced
+    by the query's trigger. A position is a function of the tick alone: straight courses, with heights that sway."""
+    draw = lambda name: F.pmod(F.xxhash64(F.lit(name), F.lit(seed), F.col("plane")), F.lit(1 << 40)) / float(1 << 40)
+    between = lambda u, a, b: u * (b - a) + F.lit(float(a))
+    rows = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", aircraft * ticks_a_batch).option("advanceMillisPerBatch", int(1000 * tick_s * ticks_a_batch)).load()
+    rows = rows.select((F.col("value") % aircraft).alias("plane"), F.floor(F.col("value") / aircraft).alias("tick"))
+    rows = rows.withColumn("velocity_ms", between(draw("speed"), 120, 260)).withColumn("heading", between(draw("heading"), 0, 360))
+    gone = F.col("velocity_ms") * F.col("tick") * tick_s / METRES_A_DEGREE
+    lat = F.greatest(F.lit(-MOST_LATITUDE), F.least(F.lit(MOST_LATITUDE), between(draw("lat"), -60, 60) + gone * F.cos(F.radians("heading"))))
+    rows = rows.withColumn("lat", lat)
+    lon = F.pmod(between(draw("lon"), -180, 180) + gone * F.sin(F.radians("heading")) / F.cos(F.radians("lat")) + 180.0, F.lit(360.0)) - 180.0
+    altitude = F.greatest(F.lit(0.0), F.least(F.lit(MOST_ALTITUDE), between(draw("alt"), 1000, 11000) + 300.0 * F.sin(F.col("tick") * tick_s / 60.0)))
+    rows = rows.withColumn("lon", lon).withColumn("altitude_m", altitude).withColumn("event_us", F.lit(start_us) + (F.col("tick") * int(tick_s * 1e6)).cast("long"))
+    icao24 = F.lower(F.lpad(F.hex((F.col("plane") * 65537 + seed) % 16777216), 6, "0"))
+    return rows.select(icao24.alias("icao24"), F.concat(F.lit("FL"), F.col("plane").cast("string")).alias("callsign"), "lat", "lon", "altitude_m", "velocity_ms", "heading", "event_us", grid_cell(F.col("lat"), F.col("lon")).alias("cell"))
+
+
+@dataclass(frozen=True)
+class Level:
+    """Disorder of a name, and the bounds on lateness that are tried on it, in seconds."""
+
+    name: str
+    chaos: Chaos
+
+    @property
+    def bounds_s(self) -> tuple[float, ...]:
+        skew = self.chaos.max_skew_s
+        return (0.0, skew / 2, skew, 2 * skew, *((2 * self.chaos.late_s + skew,) if self.chaos.late else ())) if skew else (0.0,)
+
+
+#: Levels of disorder.
+LEVELS = (
+    Level("none", Chaos(duplicates=0.05, drops=0.01)),
+    Level("low", Chaos(out_of_order=0.05, max_skew_s=5.0, duplicates=0.02, drops=0.01)),
+    Level("medium", Chaos(out_of_order=0.20, max_skew_s=20.0, duplicates=0.05, drops=0.01)),
+    Level("high", Chaos(out_of_order=0.40, max_skew_s=45.0, duplicates=0.10, drops=0.02)),
+    Level("medium+late", Chaos(out_of_order=0.20, max_skew_s=20.0, duplicates=0.05, drops=0.01, late=0.02, late_s=90.0)),
+    Level("high+late", Chaos(out_of_order=0.40, max_skew_s=45.0, duplicates=0.10, drops=0.02, late=0.05, late_s=120.0)),
+)

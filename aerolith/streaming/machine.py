@@ -32,14 +32,15 @@ class WatermarkMachine:
 
     def offer(self, src, key, cell, event_us: int, alt: int, vel: int, now_us: int | None = None):
         """'duplicate', ('late', window, frontier) or 'counted', and the windows that closed."""
-        start = event_us - event_us % self.width_us
+        start, closed = event_us - event_us % self.width_us, []
+        self.idle.discard(src)
         if now_us is not None:
             self.heard_at[src] = now_us
-        self.idle.discard(src)
+            closed = self.tick(now_us)
         keys = self.seen.setdefault(start, set())
         if key in keys:
             self.duplicates += 1
-            return "duplicate", []
+            return "duplicate", closed
         keys.add(key)
         self.processed += 1
         if self.frontier is not None and start + self.width_us <= self.frontier:
@@ -50,33 +51,35 @@ class WatermarkMachine:
             x[0], x[1], x[2] = x[0] + 1, x[1] + alt, x[2] + vel
             what = "counted"
         self.marks[src] = max(self.marks.get(src, event_us), event_us)
-        return what, self._advance()
+        return what, closed + self._advance()
 
     def tick(self, now_us: int) -> list:
-        """Sources silent for long enough are left out of the least mark until they are heard again."""
-        if self.idle_after_us is not None:
-            for src in set(self.heard_at) | self.awaited:
-                if now_us - self.heard_at.setdefault(src, now_us) >= self.idle_after_us:
-                    self.idle.add(src)
-        return self._advance()
+        """Sources silent for long enough are left out of the least mark until they are heard again; then they are back
+        with the mark that they had. An awaited one that never delivers is silent from the first tick on."""
+        if self.idle_after_us is None:
+            return []
+        silent = {s for s in set(self.heard_at) | self.awaited if now_us - self.heard_at.setdefault(s, now_us) >= self.idle_after_us} - self.idle
+        self.idle |= silent
+        return self._advance() if silent else []
 
     @property
     def watermark(self) -> int | None:
         if any(s not in self.marks and s not in self.idle for s in self.awaited):
             return None
-        active = [m for s, m in self.marks.items() if s not in self.idle]
+        # where all are idle there is nothing to move on, and the mark holds
+        active = [m for s, m in self.marks.items() if s not in self.idle] or list(self.marks.values())
         return min(active) - self.lateness_us if active else None
 
     def _advance(self) -> list:
         mark = self.watermark
-        if mark is None or (self.frontier is not None and mark <= self.frontier):
+        if mark is None:
             return []
-        self.frontier = mark
-        closed = sorted(k for k in self.windows if k[0] + self.width_us <= mark)
+        self.frontier = mark if self.frontier is None else max(self.frontier, mark)
         if self.keep_windows is not None:
-            oldest = mark - (self.keep_windows + 1) * self.width_us
-            for start in [s for s in self.seen if s <= oldest]:
+            oldest = self.frontier - self.keep_windows * self.width_us
+            for start in [s for s in self.seen if s < oldest]:
                 del self.seen[start]
+        closed = sorted(k for k in self.windows if k[0] + self.width_us <= self.frontier)
         return [(k, self.windows.pop(k)) for k in closed]
 
     def close(self) -> list:

@@ -21,9 +21,9 @@ def streaming_windows(sources: Sequence[DataFrame], width_us: int, lateness_us:
     """
     every = None
     for s in sources:
-        s = s.withColumn("event_time", F.timestamp_micros("event_us")).withWatermark("event_time", f"{lateness_us // 1_000_000} seconds")
+        s = s.withColumn("event_time", F.timestamp_micros("event_us")).withWatermark("event_time", f"{lateness_us} microseconds")
         every = s if every is None else every.union(s)
-    width = f"{width_us // 1_000_000} seconds"
+    width = f"{width_us} microseconds"
     once = every.withColumn("w", F.window("event_time", width)).dropDuplicates(["icao24", "event_us", "w"])
     counted = once.groupBy("w", "cell").agg(F.count(F.lit(1)).alias("n"), F.sum("alt_cm").alias("alt"), F.sum("vel_cm").alias("vel"))
     return counted.select(F.unix_micros("w.start").alias("window_us"), "cell", "n", "alt", "vel")

@@ -81,8 +81,10 @@ def test_settings():
 
 
 def test_results(spark, tmp_path):
-    for k, v in enumerate((3.0, 1.0, 2.0)):
-        results.write_result(f"{tmp_path}/{k}", "arm", {"p99": v})
-    got = results.summarise(results.load_results(spark, f"file://{tmp_path}/*/*.json")).first()
-    assert (got.n, got.median, got.metric) == (3, 2.0, "p99")
+    ids = {results.record(spark, f"file://{tmp_path}/runs", "arm", {"p99": v, "lag": 1}) for v in (3.0, 1.0, 2.0)}
+    table = results.runs(spark, f"file://{tmp_path}/runs")
+    got = {r.metric: r for r in results.summarise(table).collect()}
+    assert (got["p99"].n, got["p99"].median, got["lag"].stdev) == (3, 2.0, 0.0) and {r.run for r in table.collect()} == ids
     assert results.render(spark.range(2)).splitlines()[-1] == "| 1 |" and "Range" in results.plan(spark.range(2))
+    told = results.measured_plan(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count().filter("k < 2"))
+    assert any("Aggregate" in name and rows == 2 for _, name, rows in told) or any("Filter" in name and rows == 2 for _, name, rows in told)

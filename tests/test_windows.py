@@ -83,7 +83,7 @@ def test_batch_plan_equals_the_machine(spark, lateness_s):
     chaos = synthetic.Chaos(out_of_order=0.4, max_skew_s=20, duplicates=0.05, late=0.02, late_s=100)
     rows = synthetic.fleet(spark, 12, 300, 11, chaos).cache()
     # slices far shorter than the stream, so that what they carry matters
-    marked = windows.annotate(rows, range(6), MINUTE, lateness_s * S, slice_us=37 * S)
+    marked = windows.annotate(rows, range(6), MINUTE, lateness_s * S, slice_us=37 * S, slice_rows=100)
     got = marked.filter("not is_late").groupBy("window_us", "cell").agg(F.count(F.lit(1)).alias("n"), F.sum("alt_cm").alias("a"), F.sum("vel_cm").alias("v")).collect()
     want, late, m = machine_windows(rows.collect(), lateness_s * S)
     assert {(r.window_us, r.cell): (r.n, r.a, r.v) for r in got} == want
@@ -91,7 +91,7 @@ def test_batch_plan_equals_the_machine(spark, lateness_s):
     one = windows.accounting(rows, marked).first()
     assert (one.processed, one.duplicates, one.late, one.final_watermark_us) == (m.processed, m.duplicates, m.late, m.frontier)
     if lateness_s == 0:
-        assert store.inversions(rows, slice_us=37 * S).first().inversions == store.inversions(rows).first().inversions > 0
+        assert store.inversions(rows, slice_us=37 * S, slice_rows=100).first().inversions == store.inversions(rows).first().inversions > 0
 
 
 def test_digest_does_not_depend_on_partitions(spark):
