@@ -10,7 +10,7 @@ source's mark; the watermark is the least mark of the sources heard, less the al
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -182,32 +182,48 @@ def sweep(marked: DataFrame, width_us: int, bounds_us: Sequence[int], tolerance:
     return rows.groupBy("bound_us").agg(F.count(F.lit(1)).alias("total"), F.count_if("wrong").alias("wrong"), F.sum("error").alias("late"), F.sum("error").alias("abs_count_error"))
 
 
-def headline(marked: DataFrame, width_us: int, tolerance: float = 1e-3) -> DataFrame:
-    """One row: events, misattributed, naive_wrong, naive_windows, watermark_wrong, reported, silent. Each first copy counts in
-    the window of its event time (true, and on time or not) and in that of its arrival; one aggregation compares them."""
+def _both_sides(marked: DataFrame, width_us: int, on_time: dict[str, Column]) -> tuple[DataFrame, Callable[[str, str], Column]]:
+    """Per window of either kind: moved, late, and n, alt, vel of truth (t), baseline (v) and each of on_time, whose names tell
+    them apart; and whether two of them differ there. Each first copy counts in the window of its event time and, as the
+    baseline has it, in that of its arrival, so one aggregation compares them."""
     here, there = F.col("window_us"), tumble(F.col("ingest_us"), width_us)
-    side = lambda w, kind: F.struct(w.alias("w"), F.lit(kind).alias("kind"))
-    twice = marked.withColumn("moved", here != there).withColumn("x", F.explode(F.array(side(here, "true"), side(there, "naive"))))
-    is_true, got, naive = F.col("x.kind") == "true", (F.col("x.kind") == "true") & ~F.col("is_late"), F.col("x.kind") == "naive"
-    sums = [F.count_if(is_true & F.col("moved")).alias("moved"), F.count_if(is_true & F.col("is_late")).alias("late")]
-    for name, which in (("t", is_true), ("g", got), ("v", naive)):
+    side = lambda w, true: F.struct(w.alias("w"), F.lit(true).alias("true"))
+    twice = marked.withColumn("moved", here != there).withColumn("x", F.explode(F.array(side(here, True), side(there, False))))
+    true = F.col("x.true")
+    sums = [F.count_if(true & F.col("moved")).alias("moved"), F.count_if(true & F.col("is_late")).alias("late")]
+    for name, which in {"t": true, "v": ~true, **{k: true & c for k, c in on_time.items()}}.items():
         sums += [F.count_if(which).alias(f"n_{name}"), *[F.sum(F.when(which, F.col(f"{c}_cm"))).alias(f"{c}_{name}") for c in ("alt", "vel")]]
-    rows = twice.groupBy("x.w", "cell").agg(*sums)
 
-    def differs(a: str, b: str) -> Column:
+    def differ(a: str, b: str, tolerance: float = 1e-3) -> Column:
         mean = lambda c, x: mean_4dp(F.col(f"{c}_{x}"), F.col(f"n_{x}"))
         off = lambda c: F.abs(mean(c, a) - mean(c, b)) > F.lit(tolerance) * F.greatest(F.abs(mean(c, a)), F.abs(mean(c, b)), F.lit(1.0))
-        return F.coalesce((F.col(f"n_{a}") != F.col(f"n_{b}")) | off("alt") | off("vel"), F.lit(True))
+        return ((F.col(f"n_{a}") > 0) | (F.col(f"n_{b}") > 0)) & F.coalesce((F.col(f"n_{a}") != F.col(f"n_{b}")) | off("alt") | off("vel"), F.lit(True))
 
-    some = lambda x: F.col(f"n_{x}") > 0
+    return twice.groupBy("x.w", "cell").agg(*sums), differ
+
+
+def headline(marked: DataFrame, width_us: int) -> DataFrame:
+    """One row: events, misattributed, naive_wrong, naive_windows, watermark_wrong, reported, silent."""
+    rows, differ = _both_sides(marked, width_us, {"g": ~F.col("is_late")})
     out = rows.agg(
-        F.sum("n_t").alias("events"), F.sum("moved").alias("misattributed"), F.count_if((some("t") | some("v")) & differs("t", "v")).alias("naive_wrong"),
-        F.count_if(some("t") | some("v")).alias("naive_windows"), F.count_if((some("t") | some("g")) & differs("t", "g")).alias("watermark_wrong"),
-        F.sum("late").alias("reported"), F.sum(F.abs(F.col("n_t") - F.col("n_g"))).alias("error"),
+        F.sum("n_t").alias("events"), F.sum("moved").alias("misattributed"), F.count_if(differ("t", "v")).alias("naive_wrong"), F.count(F.lit(1)).alias("naive_windows"),
+        F.count_if(differ("t", "g")).alias("watermark_wrong"), F.sum("late").alias("reported"), F.sum(F.abs(F.col("n_t") - F.col("n_g"))).alias("error"),
     )
     return out.select("events", "misattributed", "naive_wrong", "naive_windows", "watermark_wrong", "reported", (F.col("error") - F.col("reported")).alias("silent"))
 
 
+def report(marked: DataFrame, width_us: int, bounds_us: Sequence[int]) -> DataFrame:
+    """sweep() and the baseline's part of headline() in one: a row a bound. marked: annotate()'s at lateness 0."""
+    late = {f"g{k}": F.coalesce(F.col("window_us") + width_us <= F.col("frontier_us") - b, F.lit(False)) for k, b in enumerate(bounds_us)}
+    rows, differ = _both_sides(marked, width_us, {k: ~c for k, c in late.items()})
+    each = [F.struct(F.lit(b).alias("bound_us"), differ("t", f"g{k}").alias("wrong"), (F.col("n_t") - F.col(f"n_g{k}")).alias("late")) for k, b in enumerate(bounds_us)]
+    rows = rows.select("n_t", "moved", differ("t", "v").alias("off"), F.explode(F.array(*each)).alias("x"))
+    return rows.groupBy("x.bound_us").agg(
+        F.sum("n_t").alias("events"), F.sum("moved").alias("misattributed"), F.count_if("off").alias("naive_wrong"), F.count(F.lit(1)).alias("naive_windows"),
+        F.count_if(F.col("n_t") > 0).alias("total"), F.count_if("x.wrong").alias("wrong"), F.sum("x.late").alias("late"),
+    )
+
+
 def lines(windows: DataFrame) -> DataFrame:
     """window_us, cell and line, a window's canonical text; no session setting has a say in it."""
     line = F.concat_ws("|", iso_utc(F.col("window_us")), "cell", F.col("n").cast("string"), F.format_string("%.4f", "avg_altitude"), F.format_string("%.4f", "avg_velocity"))

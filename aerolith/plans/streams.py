@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from aerolith.config import Settings
 from aerolith.functions import telemetry as fn
 from aerolith.operators import store, windows
+from aerolith.operators.slices import SLICE_ROWS
 from aerolith.plans.flights import HOUR_US, LATENESS_US, SOURCES, arrivals, flights, sql
 from aerolith.plans.queries import ANNOTATED, ORACLES, query, replayed
 from aerolith.sources import filelog, positional, synthetic
@@ -174,12 +175,11 @@ def fleet_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def levels(spark: SparkSession, sf_dir: str, aircraft: int = 50, ticks: int = 1800, seed: int = 20260827) -> DataFrame:
     """The disorder sweep: six levels of a fleet, each under the baseline and all its bounds, whose sources count as one."""
     out, width = None, 60_000_000
+    few = None if 2 * aircraft * ticks <= SLICE_ROWS else SLICE_ROWS
     for level in synthetic.LEVELS:
         rows = synthetic.fleet(spark, aircraft, ticks, seed, level.chaos).withColumn("src", F.lit(0))
-        marked = windows.annotate(rows, (0,), width, 0)
-        head = windows.headline(marked, width).select("events", "misattributed", "naive_wrong", "naive_windows")
-        told = windows.sweep(marked, width, [round(b * 1e6) for b in level.bounds_s]).crossJoin(F.broadcast(head))
-        told = told.select(F.lit(level.name).alias("level"), (F.col("bound_us") / 1e6).alias("bound_s"), "events", "misattributed", "naive_wrong", "naive_windows", "total", "wrong", "late", (F.col("abs_count_error") - F.col("late")).alias("silent"))
+        told = windows.report(windows.annotate(rows, (0,), width, 0, slice_rows=few), width, [round(b * 1e6) for b in level.bounds_s])
+        told = told.select(F.lit(level.name).alias("level"), (F.col("bound_us") / 1e6).alias("bound_s"), "events", "misattributed", "naive_wrong", "naive_windows", "total", "wrong", "late")
         out = told if out is None else out.unionByName(told)
     return out
 

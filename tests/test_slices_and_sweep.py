@@ -43,11 +43,14 @@ def test_sweep_and_headline_equal_comparisons(spark, fleet):
         marked = windows.annotate(fleet, range(6), MINUTE, b)
         want = windows.roll_up(windows.compare(truth, windows.on_time_windows(marked, MINUTE))).first()
         assert (got[b].total, got[b].wrong, got[b].abs_count_error, got[b].late) == (want.total, want.wrong, want.abs_count_error, marked.filter("is_late").count())
+    both = {r.bound_us: r for r in windows.report(windows.annotate(fleet, range(6), MINUTE, 0, slice_rows=None), MINUTE, bounds).collect()}
+    assert {b: (r.total, r.wrong, r.late) for b, r in both.items()} == {b: (r.total, r.wrong, r.late) for b, r in got.items()}
     marked = windows.annotate(fleet, range(6), MINUTE, 5 * S)
     one = windows.headline(marked, MINUTE).first()
     naive = windows.roll_up(windows.compare(truth, windows.naive(fleet, MINUTE))).first()
     on_time = windows.roll_up(windows.compare(truth, windows.on_time_windows(marked, MINUTE))).first()
     assert (one.naive_wrong, one.naive_windows, one.watermark_wrong) == (naive.wrong, naive.total, on_time.wrong) and one.silent == 0
+    assert {(r.events, r.misattributed, r.naive_wrong, r.naive_windows) for r in both.values()} == {(one.events, one.misattributed, one.naive_wrong, one.naive_windows)}
     assert (one.events, one.misattributed) == tuple(windows.misattributed(fleet, MINUTE).first())
 
 
