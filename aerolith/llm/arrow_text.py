@@ -1,4 +1,4 @@
-"""Reading texts out of Arrow batches in slices of bounded size."""
+"""Reading texts out of Arrow batches in slices of bounded size, and arrays as compressed bytes."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 
 
 def utf8_slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -25,3 +26,14 @@ def utf8_slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 2
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+
+
+def squeezed(a: np.ndarray) -> bytes:
+    """An array as compressed bytes, the bytes of equal place in its numbers side by side."""
+    a = np.ascontiguousarray(a)
+    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if len(a) else b"")
+
+
+def loosened(x: bytes, kind) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1) if len(raw) else np.zeros(0, kind)

@@ -28,10 +28,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import utf8_slices
+from .arrow_text import loosened, squeezed, utf8_slices
 from .suffixes import SuffixOrder, words_at
 
 U = np.uint64
@@ -177,11 +178,12 @@ def _contexts(config: RepeatConfig, n_buckets: int):
         filled = sorted(found)
         home = t.column("home")[0].as_py() if t.num_rows else 0
         blob = lambda f, kind: pa.array([f(found[b], kind) for b in filled], pa.binary())
-        of = lambda i: lambda x, kind: np.array([y[i] for y in x.values()], kind).tobytes()
+        of = lambda i: lambda x, kind: squeezed(np.array([y[i] for y in x.values()], kind))
+        pressed = zstandard.ZstdCompressor(level=3)
         return pa.table({
             "bucket": pa.array(filled, pa.int64()), "home": pa.array([home] * len(filled), pa.int64()),
-            "texts": blob(lambda x, _: b"".join(x), None), "sizes": blob(lambda x, kind: np.array(list(map(len, x)), kind).tobytes(), np.int32),
-            "least": blob(of(0), np.int64), "several": blob(lambda x, kind: np.array([y[1] > y[0] for y in x.values()], kind).tobytes(), np.uint8),
+            "texts": blob(lambda x, _: pressed.compress(b"".join(x)), None), "sizes": blob(lambda x, kind: squeezed(np.array(list(map(len, x)), kind)), np.int32),
+            "least": blob(of(0), np.int64), "several": blob(lambda x, kind: squeezed(np.array([y[1] > y[0] for y in x.values()], kind)), np.uint8),
             "keys": blob(lambda x, _: _short(np.array([y[2] for y in x.values()], U)), None),
         })
 
@@ -227,10 +229,10 @@ def _settle(config: RepeatConfig):
         named: list[int] = []
         rows, keys = [], [_long(x.as_buffer()) for x in t.column("keys")]
         for r in range(t.num_rows):
-            raw = t.column("texts")[r].as_py()
-            ends = np.cumsum(np.frombuffer(t.column("sizes")[r].as_py(), np.int32), dtype=np.int64)
+            raw = zstandard.ZstdDecompressor().decompress(t.column("texts")[r].as_buffer())
+            ends = np.cumsum(loosened(t.column("sizes")[r].as_buffer(), np.int32), dtype=np.int64)
             mine = []
-            for a, b, d, key in zip([0, *ends[:-1].tolist()], ends.tolist(), np.frombuffer(t.column("least")[r].as_py(), np.int64).tolist(), keys[r].tolist(), strict=True):
+            for a, b, d, key in zip([0, *ends[:-1].tolist()], ends.tolist(), loosened(t.column("least")[r].as_buffer(), np.int64).tolist(), keys[r].tolist(), strict=True):
                 context = raw[a:b]
                 k = number.get(context)
                 if k is None:
@@ -262,15 +264,15 @@ def _settle(config: RepeatConfig):
         out = {"home": t.column("home"), "keys": [], "digests": [], "stretches": [], "values": [], "widths": []}
         for r, mine in enumerate(rows):
             k = np.array(mine, np.int64)
-            cut = (smallest[k] < np.frombuffer(t.column("least")[r].as_py(), np.int64)) | (np.frombuffer(t.column("several")[r].as_py(), np.uint8) > 0)
+            cut = (smallest[k] < loosened(t.column("least")[r].as_buffer(), np.int64)) | (loosened(t.column("several")[r].as_buffer(), np.uint8) > 0)
             k = k[cut]
             n = high[k] - low[k]
             each = np.repeat(low[k] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
             out["keys"].append(_short(keys[r][cut]))
             out["digests"].append(digest[k].tobytes())
-            out["stretches"].append(n.astype(np.int32).tobytes())
-            out["values"].append(value[each].tobytes())
-            out["widths"].append(width[each].astype(np.int32).tobytes())
+            out["stretches"].append(squeezed(n.astype(np.int32)))
+            out["values"].append(squeezed(value[each]))
+            out["widths"].append(squeezed(width[each].astype(np.int32)))
         return pa.table({c: x if c == "home" else pa.array(x, pa.binary()) for c, x in out.items()})
 
     return run
@@ -279,7 +281,7 @@ def _settle(config: RepeatConfig):
 def _cut(config: RepeatConfig, with_text: bool):
     def run(t: pa.Table, results: pa.Table) -> pa.Table:
         ids, known, data, offsets = _home(t)
-        column = lambda c, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(x.as_buffer(), kind) for x in results.column(c)]])
+        column = lambda c, kind: np.concatenate([np.zeros(0, kind), *[(np.frombuffer if c == "digests" else loosened)(x.as_buffer(), kind) for x in results.column(c)]])
         keys = np.concatenate([np.zeros(0, U), *[_long(x.as_buffer()) for x in results.column("keys")]])
         digests, n = column("digests", U), column("stretches", np.int32).astype(np.int64)
         values, widths, begin = column("values", np.int64), column("widths", np.int32).astype(np.int64), np.cumsum(n) - n

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow_text import utf8_slices
+from .arrow_text import loosened, squeezed, utf8_slices
 from .common import materialise
 from .pitman_yor import HpyConfig, fit_spelling, gibbs, laid_out, quads
 
@@ -45,17 +45,6 @@ HOME_BYTES = 8 << 20
 BUCKET_BYTES = 16 << 20
 
 
-def squeezed(a: np.ndarray) -> bytes:
-    """An array as compressed bytes, the bytes of equal place in its numbers side by side."""
-    a = np.ascontiguousarray(a)
-    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if len(a) else b"")
-
-
-def loosened(x: bytes, kind) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1) if len(raw) else np.zeros(0, kind)
-
-
 def narrow(a: np.ndarray) -> np.ndarray:
     """Whole numbers that are not negative in as few bytes as they need: 4 or 8."""
     return a.astype(np.uint32 if not len(a) or a.max() < 2**32 else np.uint64)
