@@ -146,8 +146,10 @@ query(
 # projections and predicates
 
 query("p1_grid_cell", sql("SELECT DISTINCT lat_i, lon_i, cell FROM flights"))(lambda s, d: flights(s, d).select("lat_i", "lon_i", fn.grid_cell(F.col("lat_i"), F.col("lon_i")).alias("cell")).distinct())
-query("p2_window_start", "SELECT x AS at_us, x - ((x % 60000000) + 60000000) % 60000000 AS window_us FROM (VALUES (-1::BIGINT), (-60000000), (0), (59999999), (60000000), (1767225725000000)) t(x)")(
-    lambda s, d: s.createDataFrame([(x,) for x in (-1, -60000000, 0, 59999999, 60000000, 1767225725000000)], "at_us long").withColumn("window_us", fn.tumble(F.col("at_us")))
+#: Shifts the flights' times to before the epoch.
+BACK_US = 2_000_000_000_000_000
+query("p2_window_start", sql(f"SELECT event_id, event_us - event_us % 60000000 AS window_us, event_us - {BACK_US} - (((event_us - {BACK_US}) % 60000000) + 60000000) % 60000000 AS early_us FROM flights"))(
+    lambda s, d: flights(s, d).select("event_id", fn.tumble(F.col("event_us")).alias("window_us"), fn.tumble(F.col("event_us") - BACK_US).alias("early_us"))
 )
 
 

@@ -87,24 +87,3 @@ class WatermarkMachine:
         out = sorted(self.windows.items())
         self.windows = {}
         return out
-
-
-class OffsetTracker:
-    """How far a partition may be committed: never past the first event of a window still open."""
-
-    def __init__(self):
-        self.next: dict = {}
-        self.first: dict = {}  # partition: {window: first offset}
-
-    def observe(self, partition, offset: int, window: int) -> None:
-        self.next[partition] = max(self.next.get(partition, 0), offset + 1)
-        firsts = self.first.setdefault(partition, {})
-        firsts[window] = min(firsts.get(window, offset), offset)
-
-    def close_through(self, window: int) -> None:
-        for firsts in self.first.values():
-            for w in [w for w in firsts if w <= window]:
-                del firsts[w]
-
-    def safe(self) -> dict:
-        return {p: min([n, *self.first.get(p, {}).values()]) for p, n in self.next.items()}

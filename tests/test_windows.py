@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from aerolith.operators import store, windows
 from aerolith.sources import synthetic
-from aerolith.streaming.machine import OffsetTracker, WatermarkMachine
+from aerolith.streaming.machine import WatermarkMachine
 
 T0 = 1_767_225_600_000_000
 S = 1_000_000
@@ -130,16 +130,8 @@ def test_machine_forgets_keys_behind_its_horizon():
     assert [windows.minimum_retention(a, b) for a, b in ((30, 60), (60, 60), (45, 10))] == [2, 2, 6]
 
 
-def test_safe_offsets():
-    t = OffsetTracker()
-    for p, o, w in (("p0", 5, 0), ("p0", 6, 1), ("p1", 2, 1)):
-        t.observe(p, o, w)
-    t.close_through(0)
-    assert t.safe() == {"p0": 6, "p1": 2}
-    t = OffsetTracker()
-    t.observe("p0", 1, 1)
-    t.observe("p0", 2, 0)
-    t.close_through(0)
-    assert t.safe() == {"p0": 1}
-    t.close_through(1)
-    assert t.safe() == {"p0": 3}
+def test_safe_offsets(spark):
+    """A restart begins at the first event of a window that is still open, or at what comes next."""
+    log = spark.createDataFrame([("p0", 5, 0), ("p0", 6, 1), ("p1", 2, 1), ("p2", 1, 1), ("p2", 2, 0), ("p3", 9, 0)], "partition string, offset long, window long")
+    for closed, want in ((-1, {"p0": 5, "p1": 2, "p2": 1, "p3": 9}), (0, {"p0": 6, "p1": 2, "p2": 1, "p3": 10}), (1, {"p0": 7, "p1": 3, "p2": 3, "p3": 10})):
+        assert {r.partition: r.safe for r in windows.safe_offsets(log, F.col("window") > closed).collect()} == want
