@@ -293,7 +293,7 @@ def _twins(filled: DataFrame, classes: DataFrame) -> DataFrame | None:
 
 def near_duplicates(documents: DataFrame, config: NearDupConfig = NearDupConfig(), keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, and the columns keep of documents, which may not be named like these."""
-    signed = materialise(signatures(spread(documents), config, keep), "neardup-signatures")
+    signed = materialise(signatures(spread(documents.select("doc_id", "text", *keep)), config, keep), "neardup-signatures")
     filled = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = filled.groupBy(*DIGEST).agg(F.min("doc_id").alias("class_id"), F.first("bands").alias("bands"))
     # numbers are given while the table is written, and stay

@@ -206,6 +206,9 @@ class Pairs:
 PAIRS = "home long, bucket long, fronts binary, front_counts binary, runs binary, words binary, word_counts binary, at binary, counts binary"
 
 
+KINDS = (np.int64, np.int64, np.int32, np.int64, np.int64, np.int32, np.int32)
+
+
 def _pairs(n_buckets: int, config: HpyConfig):
     def run(t: pa.Table, words: pa.Table) -> pa.Table:
         p = Pairs(t, words, n_buckets, config)
@@ -219,7 +222,7 @@ def _pairs(n_buckets: int, config: HpyConfig):
             runs = np.diff(np.append(first, b - a))
             used, at = np.unique(word, return_inverse=True)
             each = (p.ids[front[first]], p.counts[front[first]], runs, p.ids[used], p.counts[used], at, n[a:b])
-            rows.append((home, int(p.bucket[a]), *(squeezed(x.astype(np.int64 if k in (0, 3) else np.int32 if k != 1 and k != 4 else np.int64)) for k, x in enumerate(each))))
+            rows.append((home, int(p.bucket[a]), *(squeezed(x.astype(kind)) for x, kind in zip(each, KINDS, strict=True))))
         return _table(rows, PAIRS)
 
     return run
