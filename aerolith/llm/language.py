@@ -102,14 +102,17 @@ class Model:
     def _hold(self, languages, shares, keys, rows, config) -> None:
         order = np.argsort(keys, kind="stable")
         self.languages, self.shares, self.config = languages, np.array(shares), config
-        self.keys, self.rows = keys[order], rows[order]
+        # many entries have the same scores, as all that were met once in one language have
+        whole = np.ascontiguousarray(rows, np.float64).view(np.dtype((np.void, 8 * max(1, rows.shape[1])))).reshape(-1) if rows.size else np.zeros(0)
+        _, first, row = np.unique(whole, return_index=True, return_inverse=True)
+        self.keys, self.row, self.rows = keys[order], row.reshape(-1)[order].astype(np.int32), rows[first]
 
     def _places(self, wanted: np.ndarray) -> np.ndarray:
         """Of hashes: their row, or -1."""
         if not len(self.keys):
             return np.full(len(wanted), -1)
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where(self.keys[at] == wanted, at, -1)
+        return np.where(self.keys[at] == wanted, self.row[at], -1)
 
     def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A row of scores for each word, and whether the model knows anything of it."""
@@ -138,7 +141,7 @@ class Model:
 class Scorer:
     """Predicts texts; remembers the scores of words met lately. Row 0 is for words that say nothing."""
 
-    MOST = 100_000
+    MOST = 50_000
 
     def __init__(self, model: Model):
         self.model, self.place, self.letters = model, {}, 0
@@ -175,14 +178,14 @@ class Scorer:
 
 
 #: Characters of texts that are split and looked up at once, one text at least.
-TOGETHER = 2 << 20
+TOGETHER = 1 << 20
 
 
-def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
+def _groups(texts: pa.Array) -> Iterator[list[str | None]]:
     group, size = [], 0
     for x in texts:
-        group.append(x)
-        size += len(x or "")
+        group.append(x.as_py())
+        size += len(group[-1] or "")
         if size >= TOGETHER:
             yield group
             group, size = [], 0
@@ -266,7 +269,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
         scorer = Scorer(shared.value)
         for batch in batches:
             col = batch.column(batch.schema.get_field_index("text"))
-            found = [x for group in _groups(col.to_pylist()) for x in scorer.predict(group)]
+            found = [x for group in _groups(col) for x in scorer.predict(group)]
             names = [*batch.schema.names, "lang_pred", "lang_score"]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([a for a, _ in found], pa.string()), pa.array([b for _, b in found], pa.float64())], names=names)
 

@@ -61,7 +61,7 @@ class NearDupConfig:
 class Words(dict):
     """64-bit hashes of words seen lately."""
 
-    MOST = 120_000
+    MOST = 60_000
 
     def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -172,14 +172,16 @@ def _sets(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        for batch in batches:
-            sets = [shingles(words.hashes(x.as_py())) for x in batch.column(1)]
-            digests = [_digests(s) for s in sets]
-            odd = np.array([odd_sketch(s) for s in sets], np.int64).reshape(-1, len(ODD))
-            columns = [[len(s) for s in sets], [x for x, _ in digests], [y for _, y in digests]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in columns), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), *(pa.array(c) for c in odd.T.copy())], names=names
-            )
+        for whole in batches:
+            for at in range(0, max(1, whole.num_rows), 256):
+                batch = whole.slice(at, 256)
+                sets = [shingles(words.hashes(x.as_py())) for x in batch.column(1)]
+                digests = [_digests(s) for s in sets]
+                odd = np.array([odd_sketch(s) for s in sets], np.int64).reshape(-1, len(ODD))
+                columns = [[len(s) for s in sets], [x for x, _ in digests], [y for _, y in digests]]
+                ends = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]), pa.int32())
+                flat = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, U), *sets]).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in columns), flat, *(pa.array(c) for c in odd.T.copy())], names=names)
 
     return documents.select("doc_id", "text").mapInArrow(run, ", ".join(f"{c} {'array<long>' if c == 'set' else 'long'}" for c in names))
 

@@ -136,7 +136,7 @@ class Encoder:
     both give equal ids for PROBES tokens of the vocabulary, spread over it, alone and in pairs.
     """
 
-    MOST = 300_000
+    MOST = 200_000
     PROBES = 2_000
     BYTES = {**{b: chr(b) for r in ((33, 126), (161, 172), (174, 255)) for b in range(r[0], r[1] + 1)}}
     BYTES |= {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(BYTES)))}
