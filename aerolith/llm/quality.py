@@ -104,7 +104,7 @@ class Estimate:
 
 
 #: Times that a rule is evaluated on each text of the sample.
-REPEATS = 8
+REPEATS = 2
 
 
 def cpu_seconds(rows: DataFrame) -> tuple[float, float]:
