@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,24 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Whole texts go to Python workers and back in batches of about so many rows and bytes.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs in here, not what is only planned, exchanges small batches with Python. A batch of 10,000 texts stands
+    several times over in an executor: off the heap on its way out and back, and in the worker as texts and as results."""
+    before = {k: spark.conf.get(k, None) for k in BATCHES}
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def drop_scratch(spark: SparkSession, *labels: str) -> None:
     """Deletes scratch tables: all of them, or those whose label begins so; for when no result on them is still to be read."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
